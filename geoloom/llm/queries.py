@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules, token_files, topk
+from . import packing, quality_rules, substring_dedup, suffix_dedup, token_files, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_topk": topk.op3_topk,
     "op4_token_files": token_files.op4_token_files,
     "op8_packing": packing.op8_packing,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 SQL: dict[str, str] = {"op2_quality_rules": quality_rules.OP2_SQL, "op3_topk": topk.OP3_SQL}
