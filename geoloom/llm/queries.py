@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules, substring_dedup, suffix_dedup, token_files, topk
+from . import language_id, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_files, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_topk": topk.op3_topk,
     "op4_token_files": token_files.op4_token_files,
+    "op5_quality_classifier": quality_classifier.op5_quality_classifier,
+    "op7_language_id": language_id.op7_language_id,
     "op8_packing": packing.op8_packing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
