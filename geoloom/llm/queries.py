@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_files, topk
+from . import language_id, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_files, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": quality_classifier.op5_quality_classifier,
     "op7_language_id": language_id.op7_language_id,
     "op8_packing": packing.op8_packing,
+    "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 SQL: dict[str, str] = {"op2_quality_rules": quality_rules.OP2_SQL, "op3_topk": topk.OP3_SQL}
