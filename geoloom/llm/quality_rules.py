@@ -116,6 +116,16 @@ def judged(docs: DataFrame, policy: int = POLICY) -> DataFrame:
     return apply_policy(base, policy, "_own").select("*", (~F.col("_base")).alias("base_failed"), (F.col("_base") & F.col("_own")).alias("kept")).drop("_base", "_own")
 
 
+def passing(docs: DataFrame, policy: int = POLICY) -> DataFrame:
+    """The rows of docs that base and policy keep.
+
+    The row number keeps Catalyst from moving the filter below the measurements, where it would evaluate
+    them again inside their own lambdas.
+    """
+    rows = judged(docs.select("*", F.col("text").alias("_whole")), policy).withColumn("_row", F.monotonically_increasing_id())
+    return rows.where(F.col("kept") & (F.col("_row") >= 0)).select(*[F.col("_whole").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
