@@ -24,8 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy keeps."""
-    judged = quality_rules.judged(docs.select(*COLUMNS, F.col("text").alias("whole")))
-    return judged.where("kept").withColumnRenamed("whole", "text").select(COLUMNS)
+    return quality_rules.passing(docs.select(COLUMNS))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
