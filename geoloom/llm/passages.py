@@ -38,7 +38,7 @@ from .common import batches, materialized, shuffle_partitions
 from .tokens import SPACE, byte_table, powers, prefix_hashes, ragged, span_hashes
 
 #: Phrases that a task gathers before it sends them.
-GATHERED = 1_500_000
+GATHERED = 1_000_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -269,6 +269,9 @@ def _meet(kind: Kind, homes: int, keys: list[int]) -> Callable:
             for i, k in enumerate(kinds):
                 if k == SENT:
                     got.append(unpack_entries(blobs[i].as_py()))
+            passed = np.flatnonzero(np.array(kinds) != SENT)
+            if len(passed):
+                yield batch.take(pa.array(passed))
         if not got:
             return
         doc, crc, first, length, least, content = (np.concatenate(x) for x in zip(*got))
@@ -416,13 +419,12 @@ def resolved(docs: DataFrame, kind: Kind, match: Matcher, most: int, finish: Cal
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *extra)
     packed = "home int, kind int, blob binary"
     sent = rows.select("doc_id", "text").mapInArrow(_phrases(kind, n, keys), packed)
-    first = materialized(sent, "phrases")
-    met = materialized(first.where(F.col("kind") == SENT).repartition(n, "home").mapInArrow(_meet(kind, n, keys), packed), "met")
+    met = materialized(sent.repartition(n, "home").mapInArrow(_meet(kind, n, keys), packed), "met")
     homed = rows.withColumn("home", of_key)
     wanted = met.where(F.col("kind") == WANTED).select("home", "blob")
     texts = homed.groupBy("home").cogroup(wanted.groupBy("home")).applyInArrow(_texts(kind, n, keys), "bucket int, blob binary")
     found = texts.repartition(n, "bucket").mapInArrow(_matched(kind, match, n, keys, most), packed)
-    removed = met.where(F.col("kind") == REMOVED).unionAll(first.where(F.col("kind") == REMOVED)).unionAll(found).select("home", "blob")
+    removed = met.where(F.col("kind") == REMOVED).unionAll(found).select("home", "blob")
 
     def final(own: pa.Table, spans: pa.Table) -> pa.Table:
         return finish(own.drop_columns(["home"]), _spans(spans.column("blob").to_pylist()))

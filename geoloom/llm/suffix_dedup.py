@@ -24,7 +24,7 @@ from .passages import Kind, covered, resolved
 
 WINDOW, GRAM = 50, 20
 #: Bytes of phrases that are put in suffix order at once.
-SORTED_BYTES = 6_000_000
+SORTED_BYTES = 2_000_000
 KIND = Kind("bytes", WINDOW, GRAM, merge=True)
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
