@@ -25,7 +25,7 @@ from .tokens import powers, ragged
 
 WINDOW, GRAM = 13, 5
 #: Words of phrases in a shard of the automata.
-SHARD_WORDS = 400_000
+SHARD_WORDS = 60_000
 KIND = Kind("words", WINDOW, GRAM, merge=False)
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
