@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_files, topk
+from . import language_id, near_dedup, packing, pieces, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_files, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_topk": topk.op3_topk,
     "op4_token_files": token_files.op4_token_files,
     "op5_quality_classifier": quality_classifier.op5_quality_classifier,
+    "op6_pieces": pieces.op6_pieces,
     "op7_language_id": language_id.op7_language_id,
     "op8_packing": packing.op8_packing,
     "op9_near_dedup": near_dedup.op9_near_dedup,

@@ -119,19 +119,27 @@ class ChunkEncoder:
             counts[i] = len(x)
         return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), counts
 
+    def _raw(self, text: str | None) -> bytes:
+        return (text or "").encode()
+
+    def _cuts(self, data: np.ndarray) -> np.ndarray:
+        """Whether a chunk may begin at each byte."""
+        space = SPACE[data]
+        cut = np.zeros(len(data), bool)
+        cut[1:] = (space[1:] & ~space[:-1]) | (MARK[data[1:]] & LETTER[data[:-1]])
+        for back in (2, 3):  # a character of two or three bytes that may be white space stands before
+            cut[back:] &= ~(LEADS[data[:-back]] & (data[back - 1 : -1] >= 128))
+        return cut
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (uint32), and how many each text has; null counts as empty."""
-        raw = [(x or "").encode() for x in texts]
+        raw = [self._raw(x) for x in texts]
         data = np.frombuffer(b"".join(raw), np.uint8)
         sizes = np.array([len(x) for x in raw], np.int64)
         ends = np.cumsum(sizes)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        space = SPACE[data]
-        cut = np.zeros(len(data), bool)
-        cut[1:] = (space[1:] & ~space[:-1]) | (MARK[data[1:]] & LETTER[data[:-1]])
-        for back in (2, 3):  # a character of two or three bytes that may be white space stands before
-            cut[back:] &= ~(LEADS[data[:-back]] & (data[back - 1 : -1] >= 128))
+        cut = self._cuts(data)
         cut[(ends - sizes)[sizes > 0]] = True
         starts = np.flatnonzero(cut)
         stops = np.append(starts[1:], len(data))
