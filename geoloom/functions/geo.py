@@ -122,7 +122,7 @@ def placement_offset(value: Column, origin: Column, step: Column) -> Column:
 def quantized(metres: Column) -> Column:
     """Whole metres, halves away from zero, held in the stored range; null stays null."""
     whole = F.round(metres.cast("double"))
-    return F.when(F.isnan(metres), None).otherwise(F.greatest(F.least(whole, F.lit(float(HIGHEST))), F.lit(float(LOWEST)))).cast("smallint")
+    return F.when(metres.isNull() | F.isnan(metres), None).otherwise(F.greatest(F.least(whole, F.lit(float(HIGHEST))), F.lit(float(LOWEST)))).cast("smallint")
 
 
 def raw_metres(stored: Column) -> Column:
