@@ -65,19 +65,22 @@ def measured(docs: DataFrame) -> DataFrame:
     )
     gaps = F.zip_with(F.slice("_p", 2, F.greatest(F.size("_p") - 1, F.lit(0))), F.slice("_p", 1, F.greatest(F.size("_p") - 1, F.lit(0))), lambda b, a: F.least(b - a, F.lit(3)))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    keep = [c for c in docs.columns if c not in (*MEASURES, "text")]
+    keep = [c for c in docs.columns if c not in (*MEASURES, "text", "_t", "_w", "_l", "_s", "_p", "_r", "_q")]
     one = docs.select(*[F.col(f"`{c}`") for c in keep], text.alias("_t"), words.alias("_w"), lines.alias("_l"))
     two = one.select(
         *[F.col(f"`{c}`") for c in keep], "_t",
         F.size("_w").cast("long").alias("n_words"),
+        F.monotonically_increasing_id().alias("_r"),
         F.length(F.regexp_replace("_t", SPACES, "")).cast("long").alias("word_chars"),
         F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         F.when(F.size("_w") >= 4, F.sort_array(triples)).otherwise(F.array().cast("array<struct<t:string,i:int>>")).alias("_s"),
     )
-    three = two.withColumn("_p", F.when(last > 1, F.sort_array(repeated)).otherwise(F.array().cast("array<int>")))
+    three = two.withColumn("_p", F.when(last > 1, F.sort_array(repeated)).otherwise(F.array().cast("array<int>"))).withColumn("_q", F.monotonically_increasing_id())
+    # row numbers that the result refers to keep later filters above the measurements: moved below, they would
+    # evaluate whole texts again inside the lambdas
     return three.select(
-        *[F.col(f"`{c}`") for c in keep], "n_words", "word_chars",
+        *[F.col(f"`{c}`") for c in keep], F.when((F.col("_r") >= 0) & (F.col("_q") >= 0), F.col("n_words")).alias("n_words"), "word_chars",
         _count(F.col("_t"), "[#*$%&|<>]").alias("n_symbols"),
         "n_dup_lines",
         F.when(F.size("_p") > 0, F.aggregate(gaps, F.lit(3), lambda a, x: a + x)).otherwise(0).cast("long").alias("n_repeat_words"),
@@ -117,13 +120,10 @@ def judged(docs: DataFrame, policy: int = POLICY) -> DataFrame:
 
 
 def passing(docs: DataFrame, policy: int = POLICY) -> DataFrame:
-    """The rows of docs that base and policy keep.
-
-    The row number keeps Catalyst from moving the filter below the measurements, where it would evaluate
-    them again inside their own lambdas.
-    """
-    rows = judged(docs.select("*", F.col("text").alias("_whole")), policy).withColumn("_row", F.monotonically_increasing_id())
-    return rows.where(F.col("kept") & (F.col("_row") >= 0)).select(*[F.col("_whole").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs that base and policy keep, with the columns of docs but those of measurements."""
+    names = [c for c in docs.columns if c not in MEASURES]
+    rows = judged(docs.select(*[F.col(f"`{c}`") for c in names], F.col("text").alias("_whole")), policy)
+    return rows.where("kept").select(*[F.col("_whole").alias("text") if c == "text" else F.col(f"`{c}`") for c in names])
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
