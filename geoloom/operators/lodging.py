@@ -52,7 +52,7 @@ def without_placeholder(c: Column) -> Column:
     return F.when(~F.coalesce(text.stripped(c), F.lit("")).isin(*NOTHING), c)
 
 
-def inns_v1(raw: DataFrame, retrieved_at: Column | None = None) -> DataFrame:
+def inns_v1(raw: DataFrame, provider: str, retrieved_at: Column | None = None) -> DataFrame:
     """Version-1 records of the first source's raw rows."""
     c, sc = F.col, lambda n: F.col(f"source_context.{n}")
     room, meal, way, pay = text.rooms(c("room")), text.meals(c("meal")), text.route(c("route")), text.payment(c("payment"))
@@ -73,7 +73,7 @@ def inns_v1(raw: DataFrame, retrieved_at: Column | None = None) -> DataFrame:
     none = F.lit(None).cast("string")
     return raw.select(
         F.lit(1).alias("schema_version"),
-        F.struct(F.lit("henroyado").alias("provider"), none.alias("source_id"), none.alias("source_url"), (retrieved_at if retrieved_at is not None else none).alias("retrieved_at")).alias("source"),
+        F.struct(F.lit(provider).alias("provider"), none.alias("source_id"), none.alias("source_url"), (retrieved_at if retrieved_at is not None else none).alias("retrieved_at")).alias("source"),
         F.struct(c("name"), none.alias("name_kana")).alias("identity"),
         of(ROW_STATUS, sc("row_status")).alias("business_status"),
         "description",
@@ -96,7 +96,7 @@ def inns_v1(raw: DataFrame, retrieved_at: Column | None = None) -> DataFrame:
     )
 
 
-def lodgings_v1(raw: DataFrame, retrieved_at: Column | None = None) -> DataFrame:
+def lodgings_v1(raw: DataFrame, provider: str, retrieved_at: Column | None = None) -> DataFrame:
     """Version-1 records of the second source's raw rows; a malformed field gives a warning, never a lost row."""
     c, ctx = F.col, lambda n: F.col(f"source_context.{n}")
     basic = lambda k: F.try_element_at("basic_data", F.lit(k))
@@ -129,7 +129,7 @@ def lodgings_v1(raw: DataFrame, retrieved_at: Column | None = None) -> DataFrame
     odd = "Could not safely normalize "
     warnings = F.concat(
         F.coalesce(c("parser_warnings").cast(WARNING), F.array().cast(WARNING)),
-        each(F.filter(terms, lambda t: ~t.isin(*KINDS)), lambda t: warning("lodging_types", "UNKNOWN_TAXONOMY", "Unknown min88 lodging taxonomy.", t)),
+        each(F.filter(terms, lambda t: ~t.isin(*KINDS)), lambda t: warning("lodging_types", "UNKNOWN_TAXONOMY", f"Unknown {provider} lodging taxonomy.", t)),
         warned(has_text(basic("wifi")) & ~text.is_tri_state(basic("wifi")), warning("facilities.wifi", "UNRECOGNIZED_FORMAT", odd + "tri-state value.", basic("wifi"))),
         each(text.keyed_state_issues(basic("laundry"), LAUNDRY, True), lambda i: warning("laundry", "UNRECOGNIZED_FORMAT", odd + "keyed label or value.", i)),
         each(text.keyed_state_issues(basic("payment"), PAYMENT), lambda i: warning("payment", "UNRECOGNIZED_FORMAT", odd + "keyed label or value.", i)),
@@ -140,10 +140,10 @@ def lodgings_v1(raw: DataFrame, retrieved_at: Column | None = None) -> DataFrame
     )
     return raw.select(
         F.lit(1).alias("schema_version"),
-        F.struct(F.lit("min88").alias("provider"), ctx("source_id").alias("source_id"), ctx("source_url").alias("source_url"), (retrieved_at if retrieved_at is not None else none).alias("retrieved_at"), text.modified_date(F.regexp_replace("modified_text", "[\\s　]+", "")).alias("source_modified_at")).alias("source"),
+        F.struct(F.lit(provider).alias("provider"), ctx("source_id").alias("source_id"), ctx("source_url").alias("source_url"), (retrieved_at if retrieved_at is not None else none).alias("retrieved_at"), text.modified_date(F.regexp_replace("modified_text", "[\\s　]+", "")).alias("source_modified_at")).alias("source"),
         F.struct(name.alias("name"), none.alias("name_kana")).alias("identity"),
         F.when(marker.contains("休業") & marker.contains("閉業"), "closed_or_suspended").alias("business_status"),
-        F.struct(c("editorial_title").alias("title"), c("editorial_description").alias("text"), F.lit("min88_editorial").alias("provenance")).alias("description"),
+        F.struct(c("editorial_title").alias("title"), c("editorial_description").alias("text"), F.lit(f"{provider}_editorial").alias("provenance")).alias("description"),
         F.struct(previous.alias("previous_temple"), following.alias("next_temple"), F.coalesce("route_lines").alias("raw_route_data")).alias("henro"),
         F.array_distinct(F.flatten(F.array_compact(F.transform(terms, lambda t: F.try_element_at(kinds, t))))).alias("lodging_types"),
         text.rooms_with_total(basic("rooms"), basic("price")).alias("rooms"),

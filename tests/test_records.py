@@ -9,7 +9,7 @@ google_maps_search_url string, google_maps_embed_url string, images array<string
 
 def test_inns(spark):
     row = (("ehime", "temple", "休業"), "宿", None, "番外", None, "個室 2部屋", "朝食 、 夕食(18:00)", "15:00〜", None, "現金", "1", None, None, [("wifi_g.png", None, True), ("x.png", None, False)], ["一泊 5000円", "支払い方法: 現金"], "u", None, ["a?b"], [("新", "v")])
-    r = lodging.inns_v1(spark.createDataFrame([row], RAW1)).first()
+    r = lodging.inns_v1(spark.createDataFrame([row], RAW1), "one").first()
     assert (r.business_status, r.rooms.room_count, r.check_in.time, r.check_out.time) == ("temporarily_closed", 2, "15:00-", None)
     assert (r.location.prefecture, r.location.map_data_status, r.pricing.raw_text) == ("愛媛県", "pending_geocode", "一泊 5000円")
     assert [f.type for f in r.facilities] == ["wifi", None] and r.images[0].url == "a"
@@ -25,7 +25,7 @@ def test_lodgings(spark):
     basic = {"wifi": "あり", "laundry": "洗濯機：200円|庭:可", "payment": "現金:可|カード:不可", "emoney": "PayPay, Suica", "price": "素泊まり：5,000円|：", "checkin": "31:00", "checkout": "9:00まで", "tel": "なし", "address": "x", "rooms": "全5室", "parking": "3台 無料"}
     row = (("7", "u", "L", "kochi", "《休業･閉業》", (5, "五")), basic, ["旅館・ホテル", "城"], ["犬は不可", "ー", "庭"], [("１", "a", "２．５", "3", "b", "?")], None, None, None, "2026年 8月 1日", None, None, None, "f?1", ["g"], None)
     empty = (None, None, None, None, None, None, None, None, None, None, None, None, None, None, None)
-    a, b = lodging.lodgings_v1(spark.createDataFrame([row, empty], RAW2)).collect()
+    a, b = lodging.lodgings_v1(spark.createDataFrame([row, empty], RAW2), "two").collect()
     assert (a.business_status, a.lodging_types, a.identity.name) == ("closed_or_suspended", ["ryokan", "hotel"], "L")
     assert (a.henro.previous_temple.number, a.henro.next_temple.distance_km) == (1, None)
     assert (a.payment.cash, a.payment.credit_card, a.payment.electronic_money, a.payment.electronic_money_methods) == ("available", "unavailable", "available", ["PayPay", "Suica"])
