@@ -343,3 +343,18 @@ def test_pipeline_stages(spark, sf, rows):
             want = {i: bytes(c for c, x in zip(u, f) if not x).decode(errors="ignore") for (i, u), f in zip(units, removed(units, 50)) if i is not None}
             assert {r.doc_id: r.text for r in docs.where("doc_id IS NOT NULL").collect()} == want
         assert name == "packing" or docs.count() <= before
+
+
+def test_near_copies_in_a_crowd_of_half_similar_texts(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CROWD", 16)
+    r = random.Random(5)
+    template = [f"t{i}" for i in range(300)]
+    docs = []
+    for k in range(100):
+        own = template + [f"u{k}_{i}" for i in range(70)]
+        copy = list(own)
+        for _ in range(4):
+            copy[r.randrange(300, 370)] = f"z{r.random()}"
+        docs += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(copy))]
+    got = {x.doc_id: x.class_id for x in near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(v in (k, k - 1) for k, v in got.items()) and sum(got[2 * k + 1] == 2 * k for k in range(100)) >= 95
