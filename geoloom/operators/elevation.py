@@ -5,7 +5,7 @@ elev_cell (layer, tile_x, tile_y, px, py, meters, source_code); grid (layer, ori
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -71,3 +71,15 @@ def difference_stats(pairs: DataFrame) -> DataFrame:
     placed = upto.join(F.broadcast(total.select(F.col("n").alias("t"))))  # one row
     found = placed.agg(at(F.floor(F.col("t") / 2)).alias("median"), at(F.least(F.floor(F.col("t") * F.lit(0.9)), F.col("t") - 1)).alias("p90"))
     return total.join(F.broadcast(found)).select("n", "median", "p90", "worst", (-F.col("worst_ord")).alias("worst_ord"))
+
+
+def sample_points(spark: SparkSession, bounds: tuple[float, float, float, float], n: int, seed: int = 42) -> DataFrame:
+    """ord, lat, lon of n points in bounds (min_lat, min_lon, max_lat, max_lon) by a 64-bit xorshift; n is a parameter."""
+    low_lat, low_lon, high_lat, high_lon = bounds
+    mask, state, found = (1 << 64) - 1, seed, []
+    for _ in range(2 * n):
+        for shift in (13, -7, 17):
+            state ^= (state << shift) & mask if shift > 0 else state >> -shift
+        found.append(state / float(mask))
+    rows = [(i, low_lat + u * (high_lat - low_lat), low_lon + v * (high_lon - low_lon)) for i, (u, v) in enumerate(zip(found[::2], found[1::2]))]
+    return spark.createDataFrame(rows, "ord int, lat double, lon double")
