@@ -12,7 +12,11 @@
    and its texts meet again in finer buckets of 2, 3 and 4 bands in a row: in a crowd of half-similar texts
    (a template), near copies are brought together by what they share beyond the crowd.
 4. Every pair is verified by the weighted Jaccard similarity of the two whole texts, ``SIMILAR`` at least.
-5. Verified pairs and equal texts make classes, found by stars (``components``).
+5. Verified pairs join texts to groups.  Whatever texts of different groups could still be similar is verified
+   too (``remaining_pairs``): in an order of all shingles, the rarer first, two similar texts have their first
+   common shingle early in both, and the weights from there on bound what they can have in common.  So no
+   pair that shares a bucket is left out: it is verified, in one group already, or known to be under ``SIMILAR``.
+6. Verified pairs and equal texts make classes, found by stars (``components``).
 
 Cases: texts without words (or null) are classes of their own; a null doc_id gets a null class; rows
 that share a doc_id are one document; equal texts are one class; an empty table gives no rows; further
@@ -43,6 +47,8 @@ FINER = (1, 2, 3)
 TABLE, BLOCK = 1 << 16, 1 << 16
 #: Least agreement of samples for a pair to be verified.
 PLAUSIBLE = 0.5
+#: What rounding may add to a bound of weights.
+SLACK = 1e-4
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,8 +221,32 @@ def _dealt(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return own.unionAll(leads), crowds.select("g")
 
 
+def whole_groups(rows: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows, ordered by keys, again: no group of equal keys is cut."""
+    held = None
+    for batch in rows:
+        now = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        if not now.num_rows:
+            continue
+        last = np.flatnonzero(np.any([(x := np.asarray(now.column(k))) != x[-1] for k in keys], axis=0))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if cut:
+            yield now.slice(0, cut)
+        held = now.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _new_pairs(pairs: list[tuple[int, int]], done: set[tuple[int, int]]) -> pa.RecordBatch:
+    """The pairs that the task has not told before, as far as it remembers."""
+    out = [x for x in dict.fromkeys(pairs) if x not in done]
+    if len(done) < 500_000:
+        done.update(out)
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
 def candidate_pairs(texts: DataFrame) -> DataFrame:
-    """a, b of pairs worth verifying among texts (rep, bands, samples)."""
+    """a, b of pairs worth verifying among texts (rep, bands, samples); a = b for each text that shares a bucket."""
     n = shuffle_partitions(texts.sparkSession)
     rows = texts.select("rep", "samples", "bands", F.posexplode("bands").alias("i", "g"))
     dealt, crowded = _dealt(rows.select("g", "rep", "samples"), "crowds")
@@ -225,10 +255,8 @@ def candidate_pairs(texts: DataFrame) -> DataFrame:
     closer, _ = _dealt(rows.join(crowded, "g", "left_semi").select(finer.alias("g"), "rep", "samples"), "finer")
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
         done: set[tuple[int, int]] = set()
-
-        def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches_, ["g", "part"]):
             g, part, rep = (np.asarray(rows.column(c)) for c in ("g", "part", "rep"))
             at = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (part[1:] != part[:-1])))
             ends = np.append(at[1:], len(g))
@@ -242,24 +270,8 @@ def candidate_pairs(texts: DataFrame) -> DataFrame:
                 for b, s in zip(np.cumsum(size).tolist(), size.tolist()):
                     ids, first = np.unique(rep[b - s : b], return_index=True)
                     if len(ids) > 1:
-                        out += tree_pairs(ids, data[b - s : b][first])
-            out = [x for x in dict.fromkeys(out) if x not in done]
-            if len(done) < 500_000:
-                done.update(out)
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-        for batch in batches_:
-            rows_ = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            g, part = np.asarray(rows_.column("g")), np.asarray(rows_.column("part"))
-            if not len(g):
-                continue
-            last = np.flatnonzero((g != g[-1]) | (part != part[-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if cut:
-                yield from pairs(rows_.slice(0, cut))
-            held = rows_.slice(cut)
-        if held is not None and held.num_rows:
-            yield from pairs(held)
+                        out += tree_pairs(ids, data[b - s : b][first]) + [(i, i) for i in ids.tolist()]
+            yield _new_pairs(out, done)
 
     dealt = dealt.unionAll(closer).repartition(n, "g", "part").sortWithinPartitions("g", "part")
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -290,16 +302,88 @@ def verified(pairs: DataFrame, docs: DataFrame, factor: np.ndarray) -> DataFrame
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def early_shingles(texts: list[bytes], factor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hash, weight of the whole text and weight from here on, of each shingle that can be the first
+    one, rarer before commoner, that the text has in common with a similar text."""
+    text, h, counts = shingles(texts)
+    if not len(h):
+        return text, h, np.zeros(0), np.zeros(0)
+    f = factor[(h >> np.uint64(46)).astype(np.int64)]
+    order = np.lexsort((h, -f, text))
+    text, h, w = text[order], h[order], (counts * f)[order].astype(np.float64)
+    total = np.bincount(text, w, len(texts))
+    ends = np.cumsum(total)
+    rest = ends[text] - np.cumsum(w) + w
+    keep = rest >= SIMILAR * total[text] - SLACK
+    return text[keep], h[keep], total[text[keep]], rest[keep]
+
+
+def sharing_pairs(rep: np.ndarray, own: np.ndarray, total: np.ndarray, rest: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs of different groups among texts with one shingle, as far as the weights from it on let them be similar.
+
+    The pairs within the largest group are not looked at.
+    """
+    order = np.argsort(total, kind="stable")
+    rep, own, total, rest = rep[order], own[order], total[order], rest[order]
+    names, many = np.unique(own, return_counts=True)
+    largest = own == names[many.argmax()]
+    others = np.flatnonzero(~largest)
+    lows = np.searchsorted(total, SIMILAR * total[others] - SLACK)
+    highs = np.searchsorted(total, (total[others] + SLACK) / SIMILAR, "right")
+    for i, a, b in zip(others.tolist(), lows.tolist(), highs.tolist()):
+        least = SIMILAR / (1 + SIMILAR) * (total[a:b] + total[i]) - SLACK
+        found = (np.minimum(rest[a:b], rest[i]) >= least) & (own[a:b] != own[i]) & (largest[a:b] | (np.arange(a, b) > i))
+        x = int(rep[i])
+        for y in rep[a:b][found].tolist():
+            yield (x, y) if x < y else (y, x)
+
+
+def remaining_pairs(docs: DataFrame, texts: DataFrame, factor: np.ndarray) -> DataFrame:
+    """a, b of pairs from different groups among texts (rep, own: its group) that may be similar."""
+    n = shuffle_partitions(docs.sparkSession)
+
+    def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for wide in rows:
+            for batch in batches(iter([wide]), 1_000_000):
+                text, h, total, rest = early_shingles([(x or "").encode() for x in batch.column("text").to_pylist()], factor)
+                at = pa.array(text)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("rep").take(at), batch.column("own").take(at), pa.array(total), pa.array(rest)], names=["g", "rep", "own", "total", "rest"])
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[tuple[int, int]] = set()
+        for group in whole_groups(rows, ["g"]):
+            g, rep, own, total, rest = (np.asarray(group.column(c)) for c in ("g", "rep", "own", "total", "rest"))
+            at = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+            ends = np.append(at[1:], len(g))
+            mixed = np.minimum.reduceat(own, at) != np.maximum.reduceat(own, at)
+            out: list[tuple[int, int]] = []
+            for a, b in zip(at[mixed].tolist(), ends[mixed].tolist()):
+                for pair in sharing_pairs(rep[a:b], own[a:b], total[a:b], rest[a:b]):
+                    out.append(pair)
+                    if len(out) >= 1_000_000:
+                        yield _new_pairs(out, done)
+                        out = []
+            yield _new_pairs(out, done)
+
+    named = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
+    early = named.join(texts, "rep").select("rep", "own", "text").mapInArrow(spread, "g long, rep long, own long, total double, rest double")
+    return early.repartition(n, "g").sortWithinPartitions("g").mapInArrow(run, "a long, b long").distinct()
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (the least doc_id of its class) and text_id (of its equal texts), a row each."""
     factor = weights_table(docs)
     rows = materialized(sketches(docs, factor), "sketches")
     has_words = F.max(F.col("bands").isNotNull())
-    texts = rows.where(F.col("doc_id").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"), has_words.alias("words"))
+    keys = rows.where(F.col("doc_id").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"), has_words.alias("words"))
     sampled = rows.where(F.col("bands").isNotNull() & F.col("doc_id").isNotNull()).groupBy("key").agg(F.min(F.struct("doc_id", "bands", "samples")).alias("one"))
-    named = materialized(texts.join(sampled, "key", "left").select("key", "rep", "words", "one.bands", "one.samples"), "texts")
+    named = materialized(keys.join(sampled, "key", "left").select("key", "rep", "words", "one.bands", "one.samples"), "texts")
     pairs = materialized(candidate_pairs(named.where("words").select("rep", "bands", "samples")), "pairs")
-    links = components(verified(pairs, docs, factor))
+    groups = materialized(components(verified(pairs.where("a <> b"), docs, factor)), "groups")
+    shared = pairs.where("a = b").select(F.col("a").alias("rep"))
+    texts = shared.join(groups, shared.rep == groups.node, "left").select("rep", F.coalesce("root", "rep").alias("own"))
+    more = materialized(remaining_pairs(docs, texts, factor).join(pairs, ["a", "b"], "left_anti"), "more")
+    links = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(verified(more, docs, factor)))
     of_text = named.where("words").join(links, named.rep == links.node, "left").select("key", "rep", F.coalesce("root", "rep").alias("class"))
     found = rows.select("doc_id", "key").join(of_text, "key", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))

@@ -358,3 +358,22 @@ def test_near_copies_in_a_crowd_of_half_similar_texts(spark, monkeypatch):
         docs += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(copy))]
     got = {x.doc_id: x.class_id for x in near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert all(v in (k, k - 1) for k, v in got.items()) and sum(got[2 * k + 1] == 2 * k for k in range(100)) >= 95
+
+
+def template_pairs(seed, pairs, shared, own, edits):
+    """Near copies 2k, 2k + 1, all of one template; the rest of the words are a pair's own."""
+    r = random.Random(seed)
+    docs = []
+    for k in range(pairs):
+        text = [f"t{i}" for i in range(shared)] + [f"u{k}_{i}" for i in range(own)]
+        copy = list(text)
+        for i in range(edits):
+            copy[shared + own * (2 * i + 1) // (2 * edits)] = f"z{k}_{i}"
+        docs += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(copy))]
+    return docs
+
+
+def test_near_copies_in_one_bucket_of_a_template(spark):
+    docs = template_pairs(6, 400, 330, 50, 3)
+    got = {x.doc_id: x.class_id for x in near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(800)}
