@@ -8,9 +8,8 @@
    their weighted Jaccard similarity.  Bands of ROWS samples make buckets.
 3. In a bucket, the tree of greatest agreement of the samples joins its texts (n - 1 pairs for n texts,
    never all): two texts that a chain of similar ones joins are joined by similar pairs of the tree too.  A
-   bucket of over ``CROWD`` texts is dealt into parts that all hold its first text, otherwise in every band,
-   and its texts meet again in finer buckets of 2, 3 and 4 bands in a row: in a crowd of half-similar texts
-   (a template), near copies are brought together by what they share beyond the crowd.
+   bucket of over ``CROWD`` texts is dealt into parts that all hold its first text, otherwise in every band.
+   That only bounds the first trees: pairs of different parts are left to step 5, whatever the bucket's size.
 4. Every pair is verified by the weighted Jaccard similarity of the two whole texts, ``SIMILAR`` at least.
 5. Verified pairs join texts to groups.  Whatever texts of different groups could still be similar is verified
    too (``remaining_pairs``): in an order of all shingles, the rarer first, two similar texts have their first
@@ -41,8 +40,6 @@ from .tokens import prefix_hashes, span_hashes
 WORDS, SIMILAR, DAMPING = 5, 0.8, 0.25
 BANDS, ROWS = 10, 4
 BUCKETS, CROWD = 1 << 18, 2048
-#: Crowded buckets are dealt again by so many of the bands that follow.
-FINER = (1, 2, 3)
 #: Entries of the table of random numbers that a sample looks up; shingles sampled at a time.
 TABLE, BLOCK = 1 << 16, 1 << 16
 #: Least agreement of samples for a pair to be verified.
@@ -208,17 +205,17 @@ def tree_pairs(ids: np.ndarray, samples: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _dealt(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """rows (g, rep, samples) with parts of their buckets, and the crowded buckets' g.
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows (g, rep, samples) with parts of their buckets.
 
     A bucket of over CROWD texts is dealt into parts that all hold its first text.
     """
     counted = rows.groupBy("g").agg(F.count("*").alias("many"), F.min(F.struct("rep", "samples")).alias("lead")).where(F.col("many") > CROWD)
-    crowds = materialized(counted.select("g", F.ceil(F.col("many") / CROWD).cast("int").alias("parts"), "lead.rep", "lead.samples"), name)
+    crowds = materialized(counted.select("g", F.ceil(F.col("many") / CROWD).cast("int").alias("parts"), "lead.rep", "lead.samples"), "crowds")
     part = F.coalesce(F.pmod(F.xxhash64("rep", "g"), F.col("parts")), F.lit(0)).cast("int")
     own = rows.join(crowds.select("g", "parts"), "g", "left").select("g", part.alias("part"), "rep", "samples")
     leads = crowds.select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "rep", "samples")
-    return own.unionAll(leads), crowds.select("g")
+    return own.unionAll(leads)
 
 
 def whole_groups(rows: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -248,11 +245,7 @@ def _new_pairs(pairs: list[tuple[int, int]], done: set[tuple[int, int]]) -> pa.R
 def candidate_pairs(texts: DataFrame) -> DataFrame:
     """a, b of pairs worth verifying among texts (rep, bands, samples); a = b for each text that shares a bucket."""
     n = shuffle_partitions(texts.sparkSession)
-    rows = texts.select("rep", "samples", "bands", F.posexplode("bands").alias("i", "g"))
-    dealt, crowded = _dealt(rows.select("g", "rep", "samples"), "crowds")
-    following = [F.element_at("bands", (F.col("i") + k) % BANDS + 1) for k in range(1, max(FINER) + 1)]
-    finer = F.explode(F.array(*[F.xxhash64(F.lit(k), "g", *following[:k]) for k in FINER]))
-    closer, _ = _dealt(rows.join(crowded, "g", "left_semi").select(finer.alias("g"), "rep", "samples"), "finer")
+    dealt = _dealt(texts.select(F.explode("bands").alias("g"), "rep", "samples"))
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[tuple[int, int]] = set()
@@ -273,7 +266,7 @@ def candidate_pairs(texts: DataFrame) -> DataFrame:
                         out += tree_pairs(ids, data[b - s : b][first]) + [(i, i) for i in ids.tolist()]
             yield _new_pairs(out, done)
 
-    dealt = dealt.unionAll(closer).repartition(n, "g", "part").sortWithinPartitions("g", "part")
+    dealt = dealt.repartition(n, "g", "part").sortWithinPartitions("g", "part")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 

@@ -377,3 +377,10 @@ def test_near_copies_in_one_bucket_of_a_template(spark):
     docs = template_pairs(6, 400, 330, 50, 3)
     got = {x.doc_id: x.class_id for x in near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == {i: i - i % 2 for i in range(800)}
+
+
+def test_near_copies_in_different_parts_of_a_crowd(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CROWD", 8)
+    docs = template_pairs(7, 400, 330, 50, 3)
+    got = {x.doc_id: x.class_id for x in near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(800)}
