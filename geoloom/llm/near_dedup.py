@@ -154,7 +154,7 @@ class Sampler:
 def sketches(docs: DataFrame, factor: np.ndarray) -> DataFrame:
     """doc_id, key (of equal texts), bands (array<long>) and samples (16 bits each) of each row.
 
-    bands is null for texts without words, and for texts that the task has met before.
+    bands is null for texts without words, for texts that the task has met before, and without doc_id.
     """
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +163,8 @@ def sketches(docs: DataFrame, factor: np.ndarray) -> DataFrame:
             raw = [(x or "").encode() for x in batch.column("text").to_pylist()]
             keys = [hashlib.md5(x).digest() for x in raw]
             fresh = []
-            for i, k in enumerate(keys):
-                if k not in met:
+            for i, (k, named) in enumerate(zip(keys, batch.column("doc_id").is_valid().to_pylist())):
+                if named and k not in met:
                     met.add(k)
                     fresh.append(i)
             text, h, counts = shingles([raw[i] for i in fresh])

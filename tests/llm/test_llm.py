@@ -384,3 +384,10 @@ def test_near_copies_in_different_parts_of_a_crowd(spark, monkeypatch):
     docs = template_pairs(7, 400, 330, 50, 3)
     got = {x.doc_id: x.class_id for x in near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == {i: i - i % 2 for i in range(800)}
+
+
+def test_copies_after_a_row_without_doc_id(spark):
+    base = words(random.Random(4), 300)
+    docs = [(None, base), (1, base), (2, base), (3, base + " end"), (4, "other words " * 9)]
+    got = near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted((x.doc_id or 0, x.class_id or 0) for x in got) == [(0, 0), (1, 1), (2, 1), (3, 1), (4, 4)]
