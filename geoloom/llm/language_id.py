@@ -9,8 +9,10 @@ are cut into stretches of ``STRETCH`` symbols for that; all of a text is parsed.
 
 Symbols are lower-case letters; everything between letters is one blank.
 
-Learning: ``SAMPLE_DOCS`` documents of each language by the hash of doc_id, of ``SAMPLE_CHARS`` characters,
-until ``LANGUAGE_CHARS`` symbols are reached (whole documents).  These bounds do not depend on the corpus.
+Learning: ``SAMPLE_DOCS`` documents of each language by the hash of doc_id, of ``SAMPLE_CHARS`` characters if
+there are such, then others.  All give an equal share of ``LANGUAGE_CHARS`` characters from their start; where
+that is under half of it, up to ``SHORT_DOCS`` shorter texts are joined, so that each labelled language with a
+letter is learned.  Lengths are those of text.  These bounds do not depend on the corpus.
 
 Cases: null texts and texts without a letter give ``und`` with score 0; ties go to the language whose name is
 first; a null doc_id is neither learned from nor held out; repeated rows are each predicted; with no
@@ -20,6 +22,7 @@ labelled text all texts are ``und``; an empty table gives no rows; further colum
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +34,7 @@ from pyspark.sql import types as T
 from .common import batches, table
 
 SAMPLE_DOCS, SAMPLE_CHARS, LANGUAGE_CHARS = 64, (200, 8000), 24_000
+SHORT_DOCS = 1200
 STRETCH = 256
 FOLDS, HELD_OUT = 4, 2
 BREAK = np.int32(1 << 30)
@@ -97,8 +101,8 @@ class CrossParser:
         blank = out == 1
         return out[~(blank & np.append(True, blank[:-1]))]
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """The language and the score of each text."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """The language and the score of each text, its bits a symbol in that language, and its symbols."""
         own = [self.symbols(x) if x else np.zeros(0, np.int16) for x in texts]
         sizes = np.array([len(x) for x in own], np.int64)
         some = np.array([bool((x > 1).any()) for x in own], bool)
@@ -120,31 +124,36 @@ class CrossParser:
             total = np.bincount(text, phrases, len(texts))
             bits[:, k] = total * self.bits[k] / np.maximum(sizes, 1)
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), sizes
         least = bits.argmin(axis=1)
         best = bits[np.arange(len(texts)), least]
         second = np.partition(bits, 1, axis=1)[:, 1] if len(self.languages) > 1 else np.full(len(texts), np.inf)
         score = np.where(some, 1 - best / np.maximum(best + second, 1e-12), 0.0)
-        return [self.languages[i] if s else UNKNOWN for i, s in zip(least.tolist(), some.tolist())], score
+        return [self.languages[i] if s else UNKNOWN for i, s in zip(least.tolist(), some.tolist())], score, np.where(some, best, 0.0), sizes
 
 
 def learned_samples(docs: DataFrame, trained: Column) -> dict[str, str]:
     """A bounded sample of labelled text of each language: its letters are learned."""
-    rows = docs.where(trained & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & F.col("n_chars").between(*SAMPLE_CHARS)).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = rows.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("doc_id", F.col("lang").alias("own"), "rank")
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("own", "rank", "text")  # at most SAMPLE_DOCS rows a language
+    text = F.col("text").cast("string")
+    fits, short = F.col("n").between(*SAMPLE_CHARS), F.col("n") < SAMPLE_CHARS[0]
+    rows = docs.where(trained & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & text.rlike("\\p{L}")).select("doc_id", "lang", F.length(text).alias("n"), F.xxhash64("doc_id").alias("h"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.when(fits, 0).otherwise(1), "h", "doc_id"))
+    chosen = rows.withColumn("rank", rank).where(F.col("rank") <= SHORT_DOCS).where((F.col("rank") <= SAMPLE_DOCS) | short).select("doc_id", F.col("lang").alias("own"), "rank")
+    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").where("lang = own").select("own", "rank", F.substring(text, 1, SAMPLE_CHARS[1]).alias("text"))  # at most SHORT_DOCS rows a language
     out: dict[str, str] = {}
-    for own, _, text in sorted(texts.collect(), key=lambda r: (r[0], r[1], r[2] or "")):
-        if text and len(out.get(own, "")) + len(text) <= max(LANGUAGE_CHARS, SAMPLE_CHARS[1]):
-            out[own] = out.get(own, "") + " " + text
+    found = [r for r in sorted(texts.collect(), key=lambda r: (r[0], r[1], r[2] or "")) if r[2]]
+    whole = Counter(own for own, _, text in found if len(text) >= SAMPLE_CHARS[0])
+    for least in (SAMPLE_CHARS[0], 1):
+        for own, _, text in found:
+            if least <= len(text) and (least > 1 or len(text) < SAMPLE_CHARS[0] and len(out.get(own, "")) < LANGUAGE_CHARS // 2):
+                out[own] = out.get(own, "") + " " + (text[: LANGUAGE_CHARS // whole[own]] if least > 1 else text)
     return out
 
 
 def identified(docs: DataFrame, trained: Column) -> DataFrame:
-    """docs with lang_pred and score; learns from the rows of docs where ``trained`` holds."""
+    """docs with lang_pred, score, bits (a symbol) and symbols; learns from the rows of docs where ``trained`` holds."""
     samples = learned_samples(docs, trained)
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    columns = [c for c in docs.columns if c not in ("lang_pred", "score", "bits", "symbols")]
     rows = docs.select(*[F.col(f"`{c}`") for c in columns])
     key = hash(tuple(sorted(samples.items())))
 
@@ -153,10 +162,10 @@ def identified(docs: DataFrame, trained: Column) -> DataFrame:
             _models.clear()
             _models[key] = CrossParser(samples)
         for batch in batches(batches_, 4_000_000):
-            names, score = _models[key].predict(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score)], names=[*columns, "lang_pred", "score"])
+            names, score, bits, symbols = _models[key].predict(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(bits), pa.array(symbols)], names=[*columns, "lang_pred", "score", "bits", "symbols"])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits", T.DoubleType()), T.StructField("symbols", T.LongType())]))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

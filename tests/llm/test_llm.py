@@ -391,3 +391,17 @@ def test_copies_after_a_row_without_doc_id(spark):
     docs = [(None, base), (1, base), (2, base), (3, base + " end"), (4, "other words " * 9)]
     got = near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
     assert sorted((x.doc_id or 0, x.class_id or 0) for x in got) == [(0, 0), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def spoken(r, letters, n):
+    """n characters of words drawn from few."""
+    known = ["".join(r.choice(letters) for _ in range(k % 5 + 2)) for k in range(40)]
+    return lambda: " ".join(r.choice(known) for _ in range(n))[:n]
+
+
+def test_op7_learns_from_short_long_and_unmeasured_texts(spark):
+    r = random.Random(12)
+    short, long, plain = spoken(r, "abcde", 60), spoken(r, "defgh", 20000), spoken(r, "ghijk", 900)
+    docs = [(i, short(), "aa", 60) for i in range(30)] + [(100 + i, long(), "bb", 20000) for i in range(3)] + [(200 + i, plain(), "cc", None) for i in range(9)]
+    got = language_id.identified(spark.createDataFrame(docs, "doc_id long, text string, lang string, n_chars long"), language_id.F.lit(True)).collect()
+    assert len(got) == len(docs) and all(x.lang_pred == x.lang for x in got)
