@@ -405,3 +405,16 @@ def test_op7_learns_from_short_long_and_unmeasured_texts(spark):
     docs = [(i, short(), "aa", 60) for i in range(30)] + [(100 + i, long(), "bb", 20000) for i in range(3)] + [(200 + i, plain(), "cc", None) for i in range(9)]
     got = language_id.identified(spark.createDataFrame(docs, "doc_id long, text string, lang string, n_chars long"), language_id.F.lit(True)).collect()
     assert len(got) == len(docs) and all(x.lang_pred == x.lang for x in got)
+
+
+def test_pipeline_drops_what_no_language_parses(spark):
+    import corpus_pipeline
+
+    r = random.Random(13)
+    one, two = spoken(r, "abcdefghijklm", 400), spoken(r, "abcdefghijklm", 400)
+    docs = [(i, one(), "aa") for i in range(70)] + [(100 + i, two(), "bb") for i in range(70)]
+    noise = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(190))
+    docs += [(200, noise, "aa"), (201, "ѪѬѮ ѰѲѴ" * 20, "bb"), (202, two()[:190], "aa"), (203, one()[:190], None), (204, two()[:20], "aa"), (205, "12 34", "aa")]
+    rows = [(i, t, g, "s", len(t)) for i, t, g in docs]
+    got = {x.doc_id: x.lang for x in corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, DOCS), "").collect()}
+    assert got == {i: g for i, _, g in docs[:140]} | {202: "bb", 203: "aa", 204: "aa"}
