@@ -179,10 +179,3 @@ def test_stream_of_points(spark, tmp_path):
     stream = spark.readStream.schema("id int, lat double, lon double").parquet(str(tmp_path / "in"))
     points.start(stream, cells, grid, grid, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("id", "elevation_m").collect()] == [(1, 7.0)]
-
-
-def test_entry_imports_without_the_optional_part():
-    import __spark_entry__
-
-    assert "elev_point_fallback" in __spark_entry__.queries()
-    assert "elev_point_fallback" in __spark_entry__.oracle_sql()
