@@ -11,8 +11,8 @@
    bucket of over ``CROWD`` texts is dealt into parts that all hold its first text, otherwise in every band.
    That only bounds the first trees: pairs of different parts are left to step 5, whatever the bucket's size.
 4. Every pair is verified by the weighted Jaccard similarity of the two whole texts, ``SIMILAR`` at least.
-5. Verified pairs join texts to groups.  Whatever texts of different groups could still be similar is verified
-   too (``remaining_pairs``): in an order of all shingles, the rarer first, two similar texts have their first
+5. Verified pairs join texts to groups.  Where a bucket still holds texts of several groups, whatever of these
+   texts could still be similar is verified too (``remaining_pairs``): in an order of all shingles, the rarer first, two similar texts have their first
    common shingle early in both, and the weights from there on bound what they can have in common.  So no
    pair that shares a bucket is left out: it is verified, in one group already, or known to be under ``SIMILAR``.
 6. Verified pairs and equal texts make classes, found by stars (``components``).
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, materialized, shuffle_partitions, table
+from .common import batches, frugal, materialized, shuffle_partitions, table
 from .components import components
 from .passages import mix, words_of
 from .tokens import prefix_hashes, span_hashes
@@ -76,13 +76,13 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _added(parts: DataFrame, kind: type) -> np.ndarray | None:
-    """The sum of arrays that come as (p, sums binary), in a tree; at most 32 come to the driver."""
+    """The sum of arrays that come as (p, sums binary), in a tree; one comes to the driver."""
 
     def add(frame: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, kind) for x in frame.column("sums").to_pylist())
         return pa.table({"p": pa.array([frame.column("p")[0].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
 
-    for width in (1024, 32):
+    for width in (1024, 32, 1):
         parts = parts.withColumn("p", F.col("p") % width).groupBy("p").applyInArrow(add, "p int, sums binary")
     found = [np.frombuffer(r[0], kind) for r in parts.select("sums").collect()]
     return sum(found) if found else None
@@ -102,7 +102,7 @@ def weights_table(docs: DataFrame) -> np.ndarray:
         if total[-1]:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["p", "sums"])
 
-    total = _added(docs.select("text").mapInArrow(count, "p int, sums binary"), np.int64)
+    total = _added(docs.select("text").mapInArrow(frugal(count), "p int, sums binary"), np.int64)
     if total is None:
         return np.ones(BUCKETS, np.float32)
     n = int(total[-1])
@@ -183,7 +183,7 @@ def sketches(docs: DataFrame, factor: np.ndarray) -> DataFrame:
                     out_bands[i], out_samples[i] = key[k].view(np.int64), short[k].tobytes()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(out_bands, pa.list_(pa.int64())), pa.array(out_samples, pa.binary())], names=["doc_id", "key", "bands", "samples"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, key binary, bands array<long>, samples binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(frugal(run), "doc_id long, key binary, bands array<long>, samples binary")
 
 
 def tree_pairs(ids: np.ndarray, samples: np.ndarray) -> list[tuple[int, int]]:
@@ -234,12 +234,9 @@ def whole_groups(rows: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa
         yield held
 
 
-def _new_pairs(pairs: list[tuple[int, int]], done: set[tuple[int, int]]) -> pa.RecordBatch:
-    """The pairs that the task has not told before, as far as it remembers."""
-    out = [x for x in dict.fromkeys(pairs) if x not in done]
-    if len(done) < 500_000:
-        done.update(out)
-    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    both = np.unique(np.array(pairs, np.int64).reshape(-1, 2), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, i]) for i in (0, 1)], names=["a", "b"])
 
 
 def candidate_pairs(texts: DataFrame) -> DataFrame:
@@ -248,7 +245,6 @@ def candidate_pairs(texts: DataFrame) -> DataFrame:
     dealt = _dealt(texts.select(F.explode("bands").alias("g"), "rep", "samples"))
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[tuple[int, int]] = set()
         for rows in whole_groups(batches_, ["g", "part"]):
             g, part, rep = (np.asarray(rows.column(c)) for c in ("g", "part", "rep"))
             at = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (part[1:] != part[:-1])))
@@ -264,16 +260,15 @@ def candidate_pairs(texts: DataFrame) -> DataFrame:
                     ids, first = np.unique(rep[b - s : b], return_index=True)
                     if len(ids) > 1:
                         out += tree_pairs(ids, data[b - s : b][first]) + [(i, i) for i in ids.tolist()]
-            yield _new_pairs(out, done)
+            yield _pairs(out)
 
     dealt = dealt.repartition(n, "g", "part").sortWithinPartitions("g", "part")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(frugal(run), "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, factor: np.ndarray) -> DataFrame:
-    """The pairs (a, b) whose texts' weighted Jaccard similarity is SIMILAR at least."""
-    own = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+def verified(pairs: DataFrame, texts: DataFrame, factor: np.ndarray) -> DataFrame:
+    """The pairs (a, b) whose texts' (rep, text) weighted Jaccard similarity is SIMILAR at least."""
+    both = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigh = Sampler(factor)
@@ -292,7 +287,7 @@ def verified(pairs: DataFrame, docs: DataFrame, factor: np.ndarray) -> DataFrame
                 good = np.flatnonzero(common >= SIMILAR * np.maximum(total, 1e-9) - 1e-6)
                 yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "ta", "tb").mapInArrow(frugal(run), "a long, b long")
 
 
 def early_shingles(texts: list[bytes], factor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -331,9 +326,9 @@ def sharing_pairs(rep: np.ndarray, own: np.ndarray, total: np.ndarray, rest: np.
             yield (x, y) if x < y else (y, x)
 
 
-def remaining_pairs(docs: DataFrame, texts: DataFrame, factor: np.ndarray) -> DataFrame:
-    """a, b of pairs from different groups among texts (rep, own: its group) that may be similar."""
-    n = shuffle_partitions(docs.sparkSession)
+def remaining_pairs(texts: DataFrame, factor: np.ndarray) -> DataFrame:
+    """a, b of pairs from different groups among texts (rep, own: its group, text) that may be similar."""
+    n = shuffle_partitions(texts.sparkSession)
 
     def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for wide in rows:
@@ -343,7 +338,6 @@ def remaining_pairs(docs: DataFrame, texts: DataFrame, factor: np.ndarray) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("rep").take(at), batch.column("own").take(at), pa.array(total), pa.array(rest)], names=["g", "rep", "own", "total", "rest"])
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[tuple[int, int]] = set()
         for group in whole_groups(rows, ["g"]):
             g, rep, own, total, rest = (np.asarray(group.column(c)) for c in ("g", "rep", "own", "total", "rest"))
             at = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
@@ -354,30 +348,35 @@ def remaining_pairs(docs: DataFrame, texts: DataFrame, factor: np.ndarray) -> Da
                 for pair in sharing_pairs(rep[a:b], own[a:b], total[a:b], rest[a:b]):
                     out.append(pair)
                     if len(out) >= 1_000_000:
-                        yield _new_pairs(out, done)
+                        yield _pairs(out)
                         out = []
-            yield _new_pairs(out, done)
+            yield _pairs(out)
 
-    named = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
-    early = named.join(texts, "rep").select("rep", "own", "text").mapInArrow(spread, "g long, rep long, own long, total double, rest double")
-    return early.repartition(n, "g").sortWithinPartitions("g").mapInArrow(run, "a long, b long").distinct()
+    early = texts.select("rep", "own", "text").mapInArrow(frugal(spread), "g long, rep long, own long, total double, rest double")
+    return early.repartition(n, "g").sortWithinPartitions("g").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (the least doc_id of its class) and text_id (of its equal texts), a row each."""
     factor = weights_table(docs)
     rows = materialized(sketches(docs, factor), "sketches")
-    has_words = F.max(F.col("bands").isNotNull())
-    keys = rows.where(F.col("doc_id").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"), has_words.alias("words"))
+    keys = rows.where(F.col("doc_id").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"))
     sampled = rows.where(F.col("bands").isNotNull() & F.col("doc_id").isNotNull()).groupBy("key").agg(F.min(F.struct("doc_id", "bands", "samples")).alias("one"))
-    named = materialized(keys.join(sampled, "key", "left").select("key", "rep", "words", "one.bands", "one.samples"), "texts")
-    pairs = materialized(candidate_pairs(named.where("words").select("rep", "bands", "samples")), "pairs")
-    groups = materialized(components(verified(pairs.where("a <> b"), docs, factor)), "groups")
+    named = materialized(keys.join(sampled, "key").select("key", "rep", "one.bands", "one.samples"), "texts")
+    pairs = materialized(candidate_pairs(named.select("rep", "bands", "samples")), "pairs")
+    # the texts that share a bucket, read once: what is verified below is among them
     shared = pairs.where("a = b").select(F.col("a").alias("rep"))
-    texts = shared.join(groups, shared.rep == groups.node, "left").select("rep", F.coalesce("root", "rep").alias("own"))
-    more = materialized(remaining_pairs(docs, texts, factor).join(pairs, ["a", "b"], "left_anti"), "more")
-    links = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(verified(more, docs, factor)))
-    of_text = named.where("words").join(links, named.rep == links.node, "left").select("key", "rep", F.coalesce("root", "rep").alias("class"))
+    own = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("key"))
+    texts = materialized(own.join(shared.join(named.select("rep", F.lower(F.hex("key")).alias("key")), "rep"), ["rep", "key"], "left_semi").dropDuplicates(["rep"]), "whole")
+    groups = materialized(components(verified(pairs.where("a <> b"), texts, factor)), "groups")
+    # of them, those in a bucket that still holds texts of several groups
+    placed = named.join(shared, "rep", "left_semi").select("rep", F.explode("bands").alias("g")).join(groups, F.col("rep") == F.col("node"), "left").select("g", "rep", F.coalesce("root", "rep").alias("own"))
+    placed = materialized(placed, "placed")
+    mixed = placed.groupBy("g").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("g")
+    apart = placed.join(mixed, "g", "left_semi").select("rep", "own").distinct()
+    more = materialized(remaining_pairs(texts.join(apart, "rep"), factor).join(pairs, ["a", "b"], "left_anti"), "more")
+    links = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(verified(more, texts, factor)))
+    of_text = named.join(links, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "rep").alias("class"))
     found = rows.select("doc_id", "key").join(of_text, "key", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
     return found.select("doc_id", own.alias("class_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("text_id"))

@@ -9,7 +9,8 @@ pieces that are left in open bins at a partition's end are laid one after anothe
 sequence ends), and the last stretch is cut into powers of two, which need no padding.
 
 Cases: a null text is an empty one (its end id alone); null and repeated doc_ids are kept as they are,
-a row each; an empty table gives no rows; further columns are ignored.
+a row each, as ties have no order; a text of any length is encoded whole and cut; an empty table gives no
+rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, table
+from .common import batches, frugal, table
 from .tokens import default_tokenizer, encoder, slices
 
 CAPACITY, END_ID, SMALL = 2048, 1, 128
@@ -108,7 +109,7 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         packer.finish()
         yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, COLUMNS)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(frugal(run), COLUMNS)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ Labels, lang, source and doc_id are never inputs of a score.
 
 Cases: null and empty texts have zero statistics and a score like any other; a null doc_id is not learned from nor held
 out; repeated rows are each scored; a doc_id with several labels counts with each; labels that are null are
-left out; without labelled rows every score is 0.5; an empty table gives no rows; further columns
+left out; texts of any length are measured whole; without labelled rows every score is 0.5; an empty table gives no rows; further columns
 are ignored.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, materialized, table
+from .common import batches, frugal, materialized, table
 from .language_id import fold
 from .passages import words_of
 from .tokens import prefix_hashes, span_hashes
@@ -98,7 +98,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, x array<double>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(frugal(run), "doc_id long, x array<double>")
 
 
 class Fourier:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches, fresh_path, shuffle_partitions, table
+from .common import batches, fresh_path, frugal, shuffle_partitions, table
 from .tokens import default_tokenizer, encoder, slices
 
 END_ID = 0
@@ -47,7 +47,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
                 )
                 pos += b - a
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(frugal(run), SCHEMA)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
@@ -83,7 +83,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
             sizes = np.diff(at).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("pos"), batch.column("doc_id"), pa.array(sizes), pa.array(crc, pa.int64())], names=["part", "pos", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = stored.select("part", "pos", "doc_id", "ids").mapInArrow(run, "part int, pos long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = stored.select("part", "pos", "doc_id", "ids").mapInArrow(frugal(run), "part int, pos long, doc_id long, n_tokens long, ids_crc32 long")
     sizes = stored.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row for each file
     before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     within = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("pos")) - F.col("n_tokens")

@@ -14,6 +14,8 @@ import os
 
 import numpy as np
 
+from .common import kept
+
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LETTER = np.zeros(256, bool)
@@ -26,7 +28,6 @@ LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 #: Chunks joined to one call's text; longest chunk, in bytes, that is kept.
 TOGETHER, KEPT_BYTES = 256, 64
 BASE = np.uint64(0x9E3779B97F4A7C15)
-_encoders: dict[tuple[str, int], "ChunkEncoder"] = {}
 _powers: list[np.ndarray] = []
 
 
@@ -37,13 +38,19 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Powers that a process keeps; longer runs of them are worked out each time.
+POWERS = 1 << 20
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse modulo 2**64, n at least."""
-    if not _powers or len(_powers[0]) < n:
-        size = 1 << max(20, int(n - 1).bit_length())
-        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-        _powers[:] = [np.cumprod(np.full(size, x, np.uint64)) for x in (BASE, inverse)]
-    return _powers[0], _powers[1]
+    if _powers and n <= POWERS:
+        return _powers[0], _powers[1]
+    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+    made = [np.cumprod(np.full(max(n, POWERS), x, np.uint64)) for x in (BASE, inverse)]
+    if n <= POWERS:
+        _powers[:] = made
+    return made[0], made[1]
 
 
 def byte_table() -> np.ndarray:
@@ -178,9 +185,7 @@ class ChunkEncoder:
 
 def encoder(path: str, entries: int = 2_000_000) -> ChunkEncoder:
     """The encoder of this process for a file; Python workers are reused, and so is its store."""
-    if (path, entries) not in _encoders:
-        _encoders[path, entries] = ChunkEncoder(path, entries)
-    return _encoders[path, entries]
+    return kept(("chunks", path, entries), lambda: ChunkEncoder(path, entries))
 
 
 def slices(texts: list[str | None], most: int = 4_000_000):
