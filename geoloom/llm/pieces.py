@@ -5,16 +5,17 @@ has not met are concatenated with all pieces, and put in suffix order to the dep
 A binary search finds each piece's range of suffixes, that is all its occurrences; these are edges, which are sorted
 by position and relaxed: the model is a BPE one, so an edge is taken if its piece may follow the last
 piece of what stands before it, which holds for exactly one edge at each place (no merge across
-their joint would come before the merges that made them).  Words with two blanks in a row, whose pieces share one score,
-are merged step by step.  Characters without a piece become bytes.
+their joint would come before the merges that made them).  Of a run of blanks the last one belongs to the word;
+the pieces of the others are the same wherever a run of that length stands.  Characters without a piece become bytes.
 
 Cases: a null text is an empty one, without ids; a null doc_id and repeated rows are kept, a row each; an
 empty table gives no rows; further columns are ignored; a text that holds U+2581 decodes with a blank in its
-place.  Texts of any length are encoded whole.
+place.  A model in which another piece has a score as low as those of blanks is refused.  Texts of any length are encoded whole.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, table
+from .common import batches, frugal, kept, table
 from .suffix_dedup import suffix_ranks
 from .tokens import ChunkEncoder, ragged, slices
 
@@ -32,7 +33,6 @@ BLANK_BYTES = BLANK.encode()
 #: Bytes of words that are indexed at once.
 INDEXED_BYTES = 1_000_000
 NEVER = 1 << 60
-_encoders: dict[str, "PieceEncoder"] = {}
 
 
 def default_model() -> str:
@@ -60,6 +60,10 @@ class PieceEncoder(ChunkEncoder):
         self.rank = {self.pieces[i]: r for r, i in enumerate(order)}
         self.score = {self.pieces[i]: model.get_score(i) for i in order}
         self.id = {self.pieces[i]: i for i in order}
+        runs = {x for x in self.score if not x.strip(BLANK)}
+        if any(s <= max(self.score[x] for x in runs) for x, s in self.score.items() if x not in runs):
+            raise ValueError("blanks must merge after all other pieces")
+        self.runs: dict[int, list[int]] = {}
         self.rights, self.lefts = [[] for _ in range(n)], [[] for _ in range(n)]
         halves = {}
         usable = []
@@ -89,20 +93,40 @@ class PieceEncoder(ChunkEncoder):
         self._drop()
 
     def _merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
-        """The pieces of a text by merging the best pair again and again, and the last pair merged."""
-        parts, last = list(text), None
-        while len(parts) > 1:
-            best = None
-            for i in range(len(parts) - 1):
-                s = self.score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best[0]):
-                    best = (s, i)
-            if best is None:
-                break
-            i = best[1]
-            last = (parts[i], parts[i + 1])
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts, last
+        """The pieces of a text by merging the best pair (the first of equal ones) again and again, and the last pair merged.
+
+        Pairs wait in a heap and neighbours in a linked list, so the time is that of sorting.
+        """
+        parts: list[str | None] = list(text)
+        after, before = [*range(1, len(parts)), -1], list(range(-1, len(parts) - 1))
+        waiting: list[tuple[float, int, str, str]] = []
+
+        def offer(i: int) -> None:
+            if i >= 0 and after[i] >= 0 and (s := self.score.get(parts[i] + parts[after[i]])) is not None:
+                heapq.heappush(waiting, (-s, i, parts[i], parts[after[i]]))
+
+        for i in range(len(parts)):
+            offer(i)
+        last = None
+        while waiting:
+            _, i, a, b = heapq.heappop(waiting)
+            j = after[i]
+            if parts[i] != a or j < 0 or parts[j] != b:
+                continue
+            last = (a, b)
+            parts[i], parts[j], after[i] = a + b, None, after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            offer(before[i]), offer(i)
+        return [x for x in parts if x is not None], last
+
+    def _blanks(self, n: int) -> list[int]:
+        """Ids of n blanks: their pieces share the least score, so pairs merge from the left, halving the run again and again."""
+        if n not in self.runs:
+            self.runs[n] = [self.id[p] for p in self._merged(BLANK * n)[0]]
+            if len(self.runs) > 1000:
+                return self.runs.pop(n)
+        return self.runs[n]
 
     def _fits(self, a: int, b: int) -> bool:
         """Whether piece b may follow piece a: no pair across the joint merges before it is gone."""
@@ -149,41 +173,35 @@ class PieceEncoder(ChunkEncoder):
         return cut
 
     def _encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and how many each has.
+
+        Of several blanks the last goes to the word, unless the word takes none; all pieces of blanks
+        alone have the least score of the model, so they merge after everything else.
+        """
+        width = len(BLANK_BYTES)
+        blanks = [(len(x) - len(x.lstrip(BLANK_BYTES))) // width if x.startswith(BLANK_BYTES * 2) else 1 for x in chunks]
+        alone = [n > 1 and n * width == len(x) for n, x in zip(blanks, chunks)]
+        words = [b"" if a else x[(n - 1) * width :] for n, x, a in zip(blanks, chunks, alone)]
         parts: list = [None] * len(chunks)
-        twice = BLANK_BYTES * 2
-        plain = []
-        for i, x in enumerate(chunks):
-            if twice in x:
-                parts[i] = self._stepwise(x)
-            else:
-                plain.append(i)
-        sizes = np.cumsum([len(chunks[i]) for i in plain])
+        plain = [i for i, a in enumerate(alone) if not a]
+        sizes = np.cumsum([len(words[i]) for i in plain])
         start = 0
         while start < len(plain):
             stop = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + INDEXED_BYTES)))
             own = plain[start:stop]
-            ids, counts = self._relaxed([chunks[i] for i in own])
+            ids, counts = self._relaxed([words[i] for i in own])
             for i, x in zip(own, np.split(ids, np.cumsum(counts)[:-1])):
                 parts[i] = x
             start = stop
+        for i, n in enumerate(blanks):
+            if alone[i]:
+                parts[i] = np.array(self._blanks(n), np.int64)
+            elif n > 1:
+                taken = int(parts[i][0]) != self.id[BLANK]
+                parts[i] = np.concatenate([self._blanks(n - 1), parts[i]] if taken else [self._blanks(n), parts[i][1:]])
         counts = np.array([len(x) for x in parts], np.int32)
         return (np.concatenate(parts).astype(np.uint32) if parts else np.zeros(0, np.uint32)), counts
 
-    def _stepwise(self, chunk: bytes) -> np.ndarray:
-        text = chunk.decode()
-        blanks = len(text) - len(text.lstrip(BLANK))
-        if len(text) > 64 and blanks < len(text):  # a long word after blanks: its last blank goes with it
-            if blanks > 1:
-                head, tail = self._merged(BLANK * (blanks - 1))[0], self._relaxed([(BLANK + text[blanks:]).encode()])[0]
-                whole = self._merged(BLANK * blanks)[0]
-                if self.pieces[int(tail[0])] != BLANK:
-                    return np.concatenate([[self.id[p] for p in head], tail])
-                return np.concatenate([[self.id[p] for p in whole], tail[1:]])
-        out: list[int] = []
-        for p in self._merged(text)[0]:
-            out += [self.id[p]] if p in self.id else self.byte_id[list(p.encode())].tolist()
-        return np.array(out, np.int64)
-
     def _relaxed(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks in a row, and how many each has."""
         text = b"".join(chunks)
@@ -269,9 +287,7 @@ class PieceEncoder(ChunkEncoder):
 
 
 def piece_encoder(path: str) -> PieceEncoder:
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    return kept(("pieces", path), lambda: PieceEncoder(path))
 
 
 def encoded_pieces(docs: DataFrame, model: str) -> DataFrame:
@@ -286,7 +302,7 @@ def encoded_pieces(docs: DataFrame, model: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), ids.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(frugal(run), "doc_id long, ids array<int>")
 
 
 def decoded_texts(rows: DataFrame, model: str) -> DataFrame:
@@ -301,7 +317,7 @@ def decoded_texts(rows: DataFrame, model: str) -> DataFrame:
                 texts = own.decode(np.asarray(ids.flatten()), np.asarray(ids.value_lengths().fill_null(0)).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return rows.select("doc_id", "ids").mapInArrow(frugal(run), "doc_id long, text string")
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,4 +341,4 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(counts), pa.array(crc, pa.int64()), pa.array(sha), pa.array(same)], names=["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "exact"])
 
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, exact boolean")
+    return docs.mapInArrow(frugal(run), "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, exact boolean")
