@@ -1,12 +1,12 @@
 """Suffix-array dedup: bytes under a string that an earlier document holds are removed.
 
-The phrases of a bucket (see ``passages``) are put in suffix order to the depth of a window by prefix
-doubling.  Suffixes that agree to that depth stand together, in doc_id order, so the previous smaller
-document of a position is the first of its stretch; where there is one, the longest previous factor
-reaches the window's length, the position is *earlier elsewhere*, and the later copy goes.
+The phrases of a bucket (see ``passages``) are put in suffix order by prefix doubling, with the lengths that
+neighbours have in common (both to the depth of a window).  The longest previous factor of a position, over
+smaller documents, is what it has in common with the previous or the next position in suffix order whose document is
+smaller, whichever is more; where it reaches the window's length, the later copy goes and the first one stays.
 
 Cases: a null text is an empty one; texts shorter than a window are kept whole; rows without doc_id are
-kept whole and take nothing from others; rows that repeat a doc_id do not remove each other; an empty
+kept whole and take nothing from others; rows that repeat a doc_id (ties) do not remove each other; an empty
 table gives no rows; further columns are ignored.  Texts of any length are treated whole.
 """
 
@@ -20,43 +20,92 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
-from .passages import Kind, covered, resolved
+from .passages import Kind, Spans, covered, resolved
 
 WINDOW, GRAM = 50, 20
 #: Bytes of phrases that are put in suffix order at once.
-SORTED_BYTES = 2_000_000
+SORTED_BYTES = 1_000_000
 KIND = Kind("bytes", WINDOW, GRAM, merge=True)
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def suffix_ranks(data: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of each suffix by its first ``depth`` bytes; suffixes end where ``left`` bytes are left."""
+def suffix_levels(data: np.ndarray, left: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
+    """Depths and ranks of the suffixes by so many bytes, the last one ``depth``; suffixes end where ``left`` bytes are left."""
     n = len(data)
     wide = np.zeros(n + 8, np.uint64)
     wide[:n] = data.astype(np.uint64) + np.uint64(1)
     key = np.zeros(n, np.uint64)
     for i in range(7):  # 7 symbols of 9 bits
         key = (key << np.uint64(9)) | np.where(left > i, wide[i : n + i], 0)
-    rank, done = np.unique(key, return_inverse=True)[1].astype(np.uint64), 7
+    out, done = [(7, np.unique(key, return_inverse=True)[1])], 7
     while done < depth:
-        step = min(done, depth - done)
+        step, rank = min(done, depth - done), out[-1][1].astype(np.uint64)
         next_ = np.zeros(n, np.uint64)
         next_[: n - step] = np.where(left[: n - step] > step, rank[step:] + np.uint64(1), 0)
-        rank, done = np.unique(rank * np.uint64(n + 2) + next_, return_inverse=True)[1].astype(np.uint64), done + step
-    return rank
+        done += step
+        out.append((done, np.unique(rank * np.uint64(n + 2) + next_, return_inverse=True)[1]))
+    return out
 
 
-def previous_factor_match(doc: np.ndarray, body: np.ndarray, sizes: np.ndarray, least: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+def suffix_ranks(data: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
+    """Rank of each suffix by its first ``depth`` bytes."""
+    return suffix_levels(data, left, depth)[-1][1]
+
+
+def common_lengths(data: np.ndarray, left: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bytes the suffixes at a and b have in common, at most the depth of the last level."""
+    depth, rank = levels[-1]
+    most = np.minimum(np.minimum(left[a], left[b]), depth)
+    out = np.where(rank[a] == rank[b], most, 0)
+    open_ = np.flatnonzero(rank[a] != rank[b])
+    x, y = a[open_], b[open_]
+    got, last = np.zeros(len(x), np.int64), len(data) - 1
+    for size, rank in levels[-2::-1]:  # each level's depth is twice the one before, so it fits once
+        got += size * ((got < most[open_]) & (rank[np.minimum(x + got, last)] == rank[np.minimum(y + got, last)]))
+    going = np.ones(len(x), bool)
+    for _ in range(levels[0][0] - 1):
+        going &= (got < most[open_]) & (data[np.minimum(x + got, last)] == data[np.minimum(y + got, last)])
+        got += going
+    out[open_] = np.minimum(got, most[open_])
+    return out
+
+
+def before_smaller(doc: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """What each position has in common with the nearest one before it whose document is smaller, 0 if there is none.
+
+    common[i] is what i has in common with i - 1.  All positions jump at once over stretches known to be no smaller.
+    """
+    at, least = np.arange(len(doc)) - 1, common.copy()
+    going = np.flatnonzero(at >= 0)
+    going = going[doc[at[going]] >= doc[going]]
+    while len(going):
+        over = at[going]
+        least[going], at[going] = np.minimum(least[going], least[over]), at[over]
+        going = going[at[going] >= 0]
+        going = going[doc[at[going]] >= doc[going]]
+    return np.where(at >= 0, least, 0)
+
+
+def longest_previous_factors(data: np.ndarray, left: np.ndarray, doc: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """For positions ``at``: the longest string (to ``depth``) that begins there and at one of them in a smaller document."""
+    levels = suffix_levels(data, left, depth)
+    by = np.lexsort((doc[at], levels[-1][1][at]))
+    order = at[by]
+    common = np.append(0, common_lengths(data, left, levels, order[1:], order[:-1])) if len(order) else np.zeros(0, np.int64)
+    previous = before_smaller(doc[order], common)
+    following = before_smaller(doc[order][::-1], np.append(0, common[:0:-1]))[::-1] if len(order) else previous
+    out = np.zeros(len(at), np.int64)
+    out[by] = np.maximum(previous, following)
+    return out
+
+
+def previous_factor_match(doc: np.ndarray, windows: np.ndarray, body: np.ndarray, sizes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Windows whose longest previous factor, over smaller documents, is as long as a window."""
     ends = np.cumsum(sizes)
     phrase = np.repeat(np.arange(len(sizes)), sizes)
     left = ends[phrase] - np.arange(len(body))
-    rank = suffix_ranks(body, left, window)
     at = np.flatnonzero(left >= window)
-    order = at[np.lexsort((doc[phrase[at]], rank[at]))]  # suffix order, equal ones by document
-    head = np.append(True, rank[order][1:] != rank[order][:-1])
-    lead = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
-    gone = order[doc[phrase[order]] > doc[phrase[order[lead]]]]
+    gone = at[longest_previous_factors(body, left, doc[phrase], at, window) >= window]
     return phrase[gone], gone - (ends - sizes)[phrase[gone]]
 
 
@@ -69,17 +118,17 @@ def kept_text(raw: bytes, spans: tuple[np.ndarray, np.ndarray] | None) -> tuple[
     return b"".join(keep), int((b - a).sum()), len(a)
 
 
-def _digests(docs: pa.Table, spans: dict) -> pa.Table:
+def _digests(docs: pa.RecordBatch, spans: Spans) -> pa.RecordBatch:
     out = []
     for d, x in zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()):
         raw = (x or "").encode()
         kept, gone, runs = kept_text(raw, spans.get((d, zlib.crc32(raw))) if spans else None)
         out.append((d, len(raw), gone, runs, hashlib.sha256(kept).hexdigest()))
     cols = list(zip(*out)) or [()] * 5
-    return pa.table([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.string()])], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.string()])], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _documents(docs: pa.Table, spans: dict) -> pa.Table:
+def _documents(docs: pa.RecordBatch, spans: Spans) -> pa.RecordBatch:
     texts = []
     for d, x in zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()):
         raw = (x or "").encode()
