@@ -11,6 +11,7 @@ from . import language_id, near_dedup, packing, pieces, quality_classifier, qual
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "quality_ablations": quality_rules.quality_ablations,
     "op3_topk": topk.op3_topk,
     "op4_token_files": token_files.op4_token_files,
     "op5_quality_classifier": quality_classifier.op5_quality_classifier,
@@ -20,4 +21,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
-SQL: dict[str, str] = {"op2_quality_rules": quality_rules.OP2_SQL, "op3_topk": topk.OP3_SQL}
+SQL: dict[str, str] = {"op2_quality_rules": quality_rules.OP2_SQL, "quality_ablations": quality_rules.ABLATIONS_SQL, "op3_topk": topk.OP3_SQL}
