@@ -131,14 +131,14 @@ def test_op2_filter_keeps_texts(spark, sf, rows):
     assert all(kept[i] == t for i, t, *_ in rows if i in kept and i is not None)
 
 
-@pytest.mark.parametrize("block", [8192, 3])
-def test_op3(spark, sf, block):
+@pytest.mark.parametrize("block, shard", [(1 << 25, 1 << 24), (200, 4000)])
+def test_op3(spark, sf, block, shard):
     v = {r.vec_id: np.floor(1024 * np.array(r.embedding, float)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").where("vec_id IS NOT NULL AND vec_id < 1000").collect()}
     want = set()
     for q in (i for i in v if i % 100 == 0):
         best = sorted((-int(v[q] @ v[c]), c) for c in v if c != q)[:10]
         want |= {(q, k + 1, c, -s) for k, (s, c) in enumerate(best)}
-    got = topk.top_k(spark.read.parquet(f"{sf}/embeddings.parquet"), block=block).collect()
+    got = topk.top_k(spark.read.parquet(f"{sf}/embeddings.parquet"), block_bytes=block, shard_bytes=shard).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
@@ -250,13 +250,14 @@ def test_op7(spark, small, sf, rows):
 
 def test_suffix_automaton_knows_all_substrings():
     text = [random.Random(9).randint(0, 2) for _ in range(60)]
-    table = language_id.suffix_automaton(text, 3)
+    state, symbol, to = language_id.suffix_automaton(text)
+    table = {(a, b): c for a, b, c in zip(state.tolist(), symbol.tolist(), to.tolist())}
 
     def known(s):
-        state = 0
+        state = language_id.ROOT
         for c in s:
-            state = table[state, c]
-            if state < 0:
+            state = table.get((state, c))
+            if state is None:
                 return False
         return True
 
@@ -342,7 +343,13 @@ def test_pipeline_stages(spark, sf, rows):
         elif name == "suffix_dedup":
             want = {i: bytes(c for c, x in zip(u, f) if not x).decode(errors="ignore") for (i, u), f in zip(units, removed(units, 50)) if i is not None}
             assert {r.doc_id: r.text for r in docs.where("doc_id IS NOT NULL").collect()} == want
+        elif name == "packing":
+            ids = {r[0]: tokens.encoder(tokens.default_tokenizer()).tokenizer.encode(r[1], add_special_tokens=False).ids + [1] for r in last}
+            assert {r.doc_id: r.doc_tokens for r in docs.where("doc_id IS NOT NULL").collect()} == {i: len(x) for i, x in ids.items() if i is not None}
+            for r in docs.where("doc_id IS NOT NULL").collect():
+                assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes())
         assert name == "packing" or docs.count() <= before
+        last = None if name == "packing" else [(r.doc_id, r.text or "") for r in docs.collect()]
 
 
 def test_near_copies_in_a_crowd_of_half_similar_texts(spark, monkeypatch):
@@ -418,3 +425,149 @@ def test_pipeline_drops_what_no_language_parses(spark):
     rows = [(i, t, g, "s", len(t)) for i, t, g in docs]
     got = {x.doc_id: x.lang for x in corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, DOCS), "").collect()}
     assert got == {i: g for i, _, g in docs[:140]} | {202: "bb", 203: "aa", 204: "aa"}
+
+
+def test_op3_repeated_ids_and_large_components(spark):
+    big = [[40001.3, 9007199.254741, 1.0], [-3.5, 2.25, 1e6], [9007199.0, 40001.0, -1.0]]
+    rows = [(100, big[0]), (100, big[1]), (100, big[1]), (7, big[2]), (7, big[0]), (200, [1.0, 0.0, 0.0]), (300, [5.0])]
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for q in (100, 200, 300):
+        own = min(v for i, v in whole if i == q)
+        best = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in whole if i != q and len(v) == len(own))[:10]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == want
+    assert topk.products(np.array([[40961331, 9223372036]]), np.array([[9223372036, 40961331]])).tolist() == [[2 * 40961331 * 9223372036]]
+    with pytest.raises(OverflowError):
+        topk.products(np.array([[1 << 40]]), np.array([[1 << 40]]))
+
+
+def greedy_phrases(sample, text):
+    n = i = 0
+    while i < len(text):
+        k = 1
+        while i + k < len(text) and text[i : i + k + 1] in sample:
+            k += 1
+        i, n = i + k, n + 1
+    return n
+
+
+def test_op7_parses_like_brute_force():
+    r = random.Random(21)
+    samples = {g: "".join(r.choice("abcdefgh "[j : j + 5]) for _ in range(1500)) for j, g in enumerate("xyz")}
+    model = language_id.CrossParser(samples)
+    as_text = lambda x: "".join(map(chr, model.symbols(x).tolist()))
+    texts = ["".join(r.choice("abcdefghq漢 ") for _ in range(n)) for n in (1, 2, 255, 256, 257, 511, 700, 4000)] + ["abc" * 700]
+    names, _, bits, _ = model.predict(texts)
+    for t, name, b in zip(texts, names, bits):
+        own = {g: greedy_phrases(as_text(samples[g]), as_text(t)) * math.log2(len(as_text(samples[g]))) / len(as_text(t)) for g in samples}
+        assert b == pytest.approx(min(own.values())) and name == min(own, key=lambda g: (own[g], g))
+
+
+def test_op7_edges_grow_with_the_sample_only():
+    sample = "".join(chr(0x4E00 + i % 3500) for i in range(7000))
+    model = language_id.CrossParser({"a": sample, "b": "plain words " * 300})
+    assert sum(e.keys.nbytes + e.to.nbytes + e.first.nbytes + e.table.nbytes for e in model.edges) < 8_000_000
+    assert model.predict([sample[100:400], "words plain", None, "123"])[0] == ["a", "b", "und", "und"]
+
+
+def test_longest_previous_factors_equal_brute_force():
+    r = random.Random(31)
+    docs = [bytes(r.choice(b"ab") for _ in range(r.randint(1, 40))) for _ in range(30)]
+    docs += [docs[3] + docs[5], docs[3] + b"a", docs[7], docs[7]]
+    ids = [r.randint(0, 20) for _ in docs]
+    data, sizes = np.frombuffer(b"".join(docs), np.uint8), np.array([len(x) for x in docs])
+    left, doc = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data)), np.repeat(np.array(ids), sizes)
+    got = suffix_dedup.longest_previous_factors(data, left, doc, np.arange(len(data)), 50)
+    suffixes = [(i, x[k:]) for i, x in zip(ids, docs) for k in range(len(x))]
+    for (i, x), n in zip(suffixes, got.tolist()):
+        common = [next((k for k, (c, d) in enumerate(zip(x, y)) if c != d), min(len(x), len(y))) for j, y in suffixes if j < i]
+        assert n == min(50, max(common, default=0))
+
+
+def test_passages_do_not_trust_hashes(spark, monkeypatch):
+    """With content hashes of one bit, in a task and in a shard, results stay those of brute force."""
+    from geoloom.llm import passages
+
+    cut = passages.phrases
+    monkeypatch.setattr(passages, "phrases", lambda *a: (*(x := cut(*a))[:4], x[4] & np.uint64(1), x[5]))
+    r = random.Random(41)
+    vocabulary = [words(r, 1) for _ in range(12)]
+    docs = [(i, " ".join(r.choice(vocabulary) for _ in range(60))) for i in range(30)]
+    docs += [(100 + i, t) for i, t in docs[:5]]
+    one = substring_dedup.resolved(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), substring_dedup.KIND, substring_dedup.automaton_match, 100, substring_dedup._digests, substring_dedup.SCHEMA)
+    flags = removed([(i, tuple(t.encode().split())) for i, t in docs], 13)
+    assert {x.doc_id: x.n_removed for x in one.collect()} == {i: sum(f) for (i, _), f in zip(docs, flags)}
+
+
+def test_recurring_windows_with_one_hash():
+    monkey = substring_dedup.mix
+    try:
+        substring_dedup.mix = lambda h: h & np.uint64(0)
+        codes = np.array([1, 2, 3, 9, 1, 2, 3, 4, 5, 6])
+        at = np.array([0, 4, 7])
+        assert sorted(substring_dedup.recurring(np.array([0, 1, 2]), codes, at, 3).tolist()) == [0, 7]
+    finally:
+        substring_dedup.mix = monkey
+
+
+def test_pieces_of_blanks_and_long_words_equal_the_library():
+    import sentencepiece
+
+    own, sp = pieces.piece_encoder(pieces.default_model()), sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    texts = [" " * n for n in range(1, 70)] + [" " * n + "the" for n in range(70)] + [" " * n + "漢 x" for n in range(40)] + [" " * 100_000, "a" + " " * 99_999 + "b", "ab" * 20_000]
+    ids, counts = own.encode(texts)
+    for t, got in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+        assert got.tolist() == sp.encode(t)
+
+
+def test_op5_equals_dense_ridge(spark):
+    """Partition-summed normal equations, solved, against one dense least-squares problem over all rows."""
+    r = np.random.default_rng(3)
+    d = len(quality_classifier.NAMES)
+    x = r.normal(size=(400, d))
+    y = (x[:, 0] + x[:, 1] ** 2 > 1).astype(float)
+    rows = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "x array<double>, y double").repartition(5)
+    model = quality_classifier.fitted(rows)
+    z = quality_classifier.Fourier(x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3))(x)
+    wide = np.vstack([z, math.sqrt(quality_classifier.RIDGE) * np.eye(z.shape[1])])
+    want = np.linalg.lstsq(wide, np.append(y, np.zeros(z.shape[1])), rcond=None)[0]
+    assert np.allclose(model.raw(x), z @ want, atol=1e-6)
+    score = model.score(x)
+    assert (np.diff(score[np.argsort(model.raw(x))]) >= -1e-12).all() and ((score >= 0.3) == (y > 0)).mean() > 0.85
+
+
+def test_op2_ledger_in_the_query(spark, sf):
+    rows = quality_rules.op2_quality_rules(spark, sf).collect()
+    assert all(r.base_failed == bool(r.failed & quality_rules.mask(1)) and r.kept == (not r.failed & (quality_rules.mask(1) | quality_rules.mask(quality_rules.POLICY))) for r in rows)
+    by = {r.rule: r.n_failed for r in quality_rules.quality_ablations(spark, sf).collect()}
+    assert by == {name: sum(bool(r.failed >> b & 1) for r in rows) for b, (name, _) in quality_rules.RULES.items() if b in quality_rules.POLICIES[quality_rules.POLICY]}
+
+
+def test_pipeline_of_an_empty_table_and_without_labels(spark, sf, empty, rows):
+    import corpus_pipeline
+
+    assert corpus_pipeline.run(spark, empty).collect() == []
+    bare = spark.createDataFrame([(i, t, None, s, n) for i, t, _, s, n in rows], DOCS)
+    kept = corpus_pipeline.identify_language(spark, bare, "").collect()
+    assert {r.doc_id for r in kept} == {i for i, t, *_ in rows if t and any(c.isalpha() for c in t)}
+
+
+def test_pipeline_deletes_what_it_wrote_on_the_way(spark, sf):
+    import corpus_pipeline
+    from geoloom.llm import common
+
+    before = len(common._made)
+    out = corpus_pipeline.run(spark, sf)
+    assert out.count() and len(common._made) - before <= 2  # the last stage's input
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from geoloom.llm.common import shared_dir
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://h:7077"), conf=conf))
