@@ -167,15 +167,31 @@ def tms_row(y: Column, zoom: Column) -> Column:
     return (F.pow(F.lit(2.0), zoom) - 1 - y).cast("int")
 
 
+def tiles_over(min_lat: Column, max_lat: Column, min_lon: Column, max_lon: Column, zoom: Column) -> Column:
+    """All web tiles of a zoom level that bounds touch, as an array of structs x, y, tms_y."""
+    xs = F.sequence(mercator_x(min_lon, zoom), mercator_x(max_lon, zoom))
+    ys = F.sequence(mercator_y(max_lat, zoom), mercator_y(min_lat, zoom))  # rows count from the north
+    one = lambda x: F.transform(ys, lambda y: F.struct(x.alias("x"), y.alias("y"), tms_row(y, zoom).alias("tms_y")))
+    return F.flatten(F.transform(xs, one))
+
+
 def archive_tile(tile_id: Column, zoom: int) -> Column:
-    """x and y of a Hilbert-ordered tile id of a zoom level (ids count from zoom 0)."""
-    before = (4**zoom - 1) // 3
-    rest, x, y = tile_id - before, F.lit(0).cast("long"), F.lit(0).cast("long")
-    for bit in range(zoom):
-        side = 1 << bit
-        rx = F.shiftright(rest, 1).bitwiseAND(1)
-        ry = rest.bitwiseXOR(rx).bitwiseAND(1)
-        flip_x, flip_y = F.when(rx == 1, side - 1 - x).otherwise(x), F.when(rx == 1, side - 1 - y).otherwise(y)
-        x, y = F.when(ry == 0, flip_y).otherwise(x) + rx * side, F.when(ry == 0, flip_x).otherwise(y) + ry * side
-        rest = F.shiftright(rest, 2)
-    return F.struct(x.alias("x"), y.alias("y"))
+    """x and y of a Hilbert-ordered tile id of a zoom level (ids count from zoom 0).
+
+    Two bits of the id for each level turn and shift the curve; the state is folded, so the expression does not grow.
+    """
+    number = lambda x: x.cast("long")
+    start = F.struct(number(tile_id - (4**zoom - 1) // 3).alias("rest"), number(F.lit(0)).alias("x"), number(F.lit(0)).alias("y"))
+
+    def level(s: Column, bit: Column) -> Column:
+        side = F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int"))
+        rx = F.shiftright(s.rest, 1).bitwiseAND(1)
+        ry = s.rest.bitwiseXOR(rx).bitwiseAND(1)
+        low = ry == 0
+        mirrored = low & (rx == 1)
+        x, y = F.when(mirrored, side - 1 - s.x).otherwise(s.x), F.when(mirrored, side - 1 - s.y).otherwise(s.y)
+        return F.struct(F.shiftright(s.rest, 2).alias("rest"), (F.when(low, y).otherwise(x) + rx * side).alias("x"), (F.when(low, x).otherwise(y) + ry * side).alias("y"))
+
+    if zoom == 0:
+        return F.struct(start.x.alias("x"), start.y.alias("y"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(zoom - 1)), start, level, lambda s: F.struct(s.x.alias("x"), s.y.alias("y")))

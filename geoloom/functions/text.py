@@ -102,21 +102,28 @@ def labelled_items(x: Column) -> Column:
     return F.transform(items, lambda i: F.struct(empty_to_null(label(i)).alias("label"), F.when(i.rlike(pattern), F.regexp_extract(i, pattern, 2)).alias("value"), i.alias("item")))
 
 
+def let(x: Column, of) -> Column:
+    """of(x) with x worked out once per row."""
+    return F.get(F.transform(F.array(x), of), F.lit(0))
+
+
 def keyed_states(x: Column, keys: dict[str, tuple[str, ...]], amounts: bool = False) -> Column:
     """struct of a state for each target key; the last item with a label wins."""
-    items = labelled_items(x)
 
-    def state(label: str) -> Column:
-        value = F.element_at(F.filter(items, lambda i: i.label == label), -1).value
-        plain = tri_state(value)
-        return F.when(F.lit(amounts) & (plain == "unknown") & is_amount(value), "available").otherwise(plain)
+    def state(value: Column) -> Column:
+        plain = lambda p: F.when(F.lit(amounts) & (p == "unknown") & is_amount(value), "available").otherwise(p)
+        return let(tri_state(value), plain)
 
     targets: dict[str, list[str]] = {}
     for label, names in keys.items():
         for name in names:
             targets.setdefault(name, []).append(label)
-    has = lambda label: F.exists(items, lambda i: i.label == label)
-    return F.struct(*[F.coalesce(*[F.when(has(x_), state(x_)) for x_ in reversed(labels)], F.lit("not_provided")).alias(name) for name, labels in targets.items()])
+
+    def of(items: Column) -> Column:
+        own = lambda label: let(F.filter(items, lambda i: i.label == label), lambda got: F.when(F.size(got) > 0, state(F.try_element_at(got, F.lit(-1)).value)))
+        return F.struct(*[F.coalesce(*[own(x_) for x_ in reversed(labels)], F.lit("not_provided")).alias(name) for name, labels in targets.items()])
+
+    return let(labelled_items(x), of)
 
 
 def keyed_state_issues(x: Column, keys, amounts: bool = False) -> Column:
@@ -157,12 +164,12 @@ def _times(text: Column, anchor: str, compact: bool) -> Column:
 
 def time_range(x: Column) -> Column:
     """struct<start, end, time, notes> of a time or range at the beginning of x."""
-    return _times(collapsed(normalize_digits(x)), "^", True)
+    return let(collapsed(normalize_digits(x)), lambda t: _times(t, "^", True))
 
 
 def time_anywhere(x: Column) -> Column:
     """struct<start, end, time, notes> of the first range, or else time, in x."""
-    return _times(normalize_digits(x), "", False)
+    return let(normalize_digits(x), lambda t: _times(t, "", False))
 
 
 def normalized_clock(value: Column) -> Column:
@@ -367,12 +374,6 @@ def marker(x: Column) -> Column:
     return F.when(x.rlike(MARKER), F.struct(F.regexp_extract(x, MARKER, 2).cast("double").alias("longitude"), F.regexp_extract(x, MARKER, 1).cast("double").alias("latitude")))
 
 
-def map_link_kind(url: Column) -> Column:
-    host = F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit(""))
-    ours = host.rlike("(^|\\.)google\\.(com|co\\.jp)$") | (host == "maps.app.goo.gl") | (host == "goo.gl")
-    return F.when(~ours, None).when(url.contains("layer=c") | url.contains("!1e1") | url.contains("map_action=pano"), "street_view").when(url.contains("/dir/") | url.contains("daddr="), "directions").otherwise("place")
-
-
 def host_allowed(url: Column, hosts: tuple[str, ...]) -> Column:
     return F.coalesce(F.lower(F.try_parse_url(url, F.lit("HOST"))).isin(*hosts), F.lit(False))
 
@@ -390,18 +391,31 @@ def distance_km(x: Column) -> Column:
 
 
 def modified_date(x: Column) -> Column:
-    p = "(\\d{4})\\D(\\d{1,2})\\D(\\d{1,2})"
+    p = "(\\d{4})年\\s*(\\d{1,2})月\\s*(\\d{1,2})日"
     part = lambda i: F.lpad(F.regexp_extract(x, p, i), 2, "0")
     return F.when(x.rlike(p), F.concat_ws("-", F.regexp_extract(x, p, 1), part(2), part(3)))
 
 
 def yes_no_or_text(x: Column) -> Column:
-    """struct<flag, text>: yes and no as a boolean, anything else as text."""
+    """struct<flag, text>: yes, true, 1 and no, false, 0 as a boolean, anything else as text."""
     value = F.lower(F.trim(x))
-    flag = F.when(value == "yes", True).when(value == "no", False)
+    flag = F.when(value.isin("yes", "true", "1"), True).when(value.isin("no", "false", "0"), False)
     return F.struct(flag.alias("flag"), F.when(flag.isNull(), empty_to_null(F.trim(x))).alias("text"))
 
 
+#: File endings of image types, and those that a url may give.
+IMAGE_TYPES = {"image/jpeg": ".jpg", "image/png": ".png", "image/webp": ".webp", "image/gif": ".gif", "image/svg+xml": ".svg"}
+IMAGE_ENDINGS = (".jpg", ".jpeg", ".png", ".webp", ".gif")
+
+
+def image_ending(content_type: Column, url: Column) -> Column:
+    """A file's ending by its content type, or else by its url, or else .jpg."""
+    base = F.lower(F.trim(F.substring_index(content_type, ";", 1)))
+    known = F.coalesce(*[F.when(base == k, v) for k, v in IMAGE_TYPES.items()])
+    of_url = F.lower(F.regexp_extract(F.substring_index(url, "?", 1), "[^/](\\.[^./]*)$", 1))
+    return F.coalesce(known, F.when(of_url.isin(*IMAGE_ENDINGS), of_url), F.lit(".jpg"))
+
+
 def escaped(x: Column) -> Column:
     return reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), ESCAPES, x)
 

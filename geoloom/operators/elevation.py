@@ -57,20 +57,73 @@ def first_raster(points: DataFrame, rasters: DataFrame) -> DataFrame:
     return first.withColumn("row", geo.raster_row(F.col("lat"), F.col("max_lat"), lat_step, F.col("height"))).withColumn("col", geo.raster_col(F.col("lon"), F.col("min_lon"), lon_step, F.col("width"))).drop("_la", "_lo", "_rn")
 
 
+def in_order(found: DataFrame, order: str = "ord") -> DataFrame:
+    """Looked-up points in the order of their input."""
+    return found.orderBy(order)
+
+
+#: Differences are first counted in bins of this width.
+BIN = 1.0
+
+
 def difference_stats(pairs: DataFrame) -> DataFrame:
     """Of pairs (ord, a, b): count, median sorted[n/2], p90 sorted[min(int(0.9 n), n-1)], greatest and its ord.
 
-    Positions come from one pass that counts equal differences, not from a list of all of them.
+    Positions are found in two steps: counts of bins (a small table) give the two bins that hold them, and only the distinct
+    differences of these are ranked.
     """
-    d = F.abs(F.col("a") - F.col("b"))
-    rows = pairs.select("ord", d.alias("d"))
-    counts = rows.groupBy("d").agg(F.count("*").alias("n"))
-    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("d")))  # one row per distinct difference
+    rows = pairs.select("ord", F.abs(F.col("a") - F.col("b")).alias("d")).where("d IS NOT NULL").withColumn("bin", F.floor(F.col("d") / BIN))
     total = rows.agg(F.count("*").alias("n"), F.max("d").alias("worst"), F.max_by(-F.col("ord"), F.struct(F.col("d"), -F.col("ord"))).alias("worst_ord"))
-    at = lambda k: F.min(F.when(F.col("upto") > k, F.col("d")))
-    placed = upto.join(F.broadcast(total.select(F.col("n").alias("t"))))  # one row
-    found = placed.agg(at(F.floor(F.col("t") / 2)).alias("median"), at(F.least(F.floor(F.col("t") * F.lit(0.9)), F.col("t") - 1)).alias("p90"))
-    return total.join(F.broadcast(found)).select("n", "median", "p90", "worst", (-F.col("worst_ord")).alias("worst_ord"))
+    size = F.broadcast(total.select(F.col("n").alias("t")))  # one row
+    bins = rows.groupBy("bin").agg(F.count("*").alias("m")).withColumn("upto", F.sum("m").over(Window.orderBy("bin")))
+    places = F.explode(F.array(F.struct(F.lit("median").alias("what"), F.floor(F.col("t") / 2).alias("k")), F.struct(F.lit("p90").alias("what"), F.least(F.floor(F.col("t") * F.lit(0.9)), F.col("t") - 1).alias("k"))))
+    wanted = bins.join(size.where("t > 0").select(places.alias("w")), (F.col("upto") > F.col("w.k")) & (F.col("upto") - F.col("m") <= F.col("w.k")))
+    wanted = wanted.select("bin", "w.what", (F.col("w.k") - F.col("upto") + F.col("m")).alias("k"))  # two rows
+    near = rows.join(F.broadcast(wanted), "bin").groupBy("what", "k", "d").agg(F.count("*").alias("m"))
+    ranked = near.withColumn("upto", F.sum("m").over(Window.partitionBy("what").orderBy("d"))).where(F.col("upto") > F.col("k"))
+    of = lambda what: F.min(F.when(F.col("what") == what, F.col("d"))).alias(what)
+    return total.join(F.broadcast(ranked.agg(of("median"), of("p90")))).select("n", "median", "p90", "worst", (-F.col("worst_ord")).alias("worst_ord"))
+
+
+def agreement(pairs: DataFrame, tolerance: float) -> DataFrame:
+    """Of sampled points (ord, inside, fine, coarse): how the fine raster's heights agree with the coarse one's.
+
+    inside says whether the fine raster covers the point; null heights are no data.
+    """
+    both = F.col("fine").isNotNull() & F.col("coarse").isNotNull()
+    n = lambda c: F.count_if(F.col("inside") & c)
+    return pairs.agg(
+        F.count_if(~F.col("inside")).alias("outside"), n(both).alias("comparable"), n(both & (F.abs(F.col("fine") - F.col("coarse")) <= tolerance)).alias("agree"),
+        n(F.col("fine").isNull() & F.col("coarse").isNotNull()).alias("gaps"), n(F.col("fine").isNotNull() & F.col("coarse").isNull()).alias("strays"), n(F.col("fine").isNull() & F.col("coarse").isNull()).alias("sea"),
+    )
+
+
+#: The least share of land points that agree, and the strays taken for coast.
+LAND_SHARE, COAST = 0.6, 10
+
+
+def cross_validation(pairs: DataFrame, tolerance: float = 10.0, sea_share: float = 0.9) -> DataFrame:
+    """agreement and difference_stats in one row, with rates and the names of the rules that fail."""
+    counts = agreement(pairs, tolerance)
+    stats = difference_stats(pairs.where("inside AND fine IS NOT NULL AND coarse IS NOT NULL").select("ord", F.col("fine").alias("a"), F.col("coarse").alias("b")))
+    row = counts.join(F.broadcast(stats.select("median", "p90", "worst", "worst_ord")))  # one row each
+    land, sea = F.coalesce(F.try_divide("agree", "comparable"), F.lit(1.0)), F.coalesce(F.try_divide("sea", F.col("sea")), F.lit(1.0))
+    rules = {"no_land": F.col("comparable") == 0, "median": F.coalesce(F.col("median") > tolerance, F.lit(False)), "land_share": land < LAND_SHARE, "sea_share": sea < sea_share, "strays": F.col("strays") >= COAST}
+    failed = F.filter(F.array(*[F.when(c, F.lit(name)) for name, c in rules.items()]), lambda x: x.isNotNull())
+    return row.withColumn("land_share", F.round(land, 9)).withColumn("failed", F.array_join(failed, ","))
+
+
+def golden_gate(checked: DataFrame, covered: DataFrame) -> DataFrame:
+    """One row: golden points, failures, layers (layer, valid) without a valid cell, and whether all is well."""
+    points = checked.agg(F.count("*").alias("points"), F.count_if(~F.col("ok")).alias("failures"))
+    empty = covered.agg(F.count_if(F.col("valid") == 0).alias("empty_layers"), F.count("*").alias("layers"))
+    return points.join(F.broadcast(empty)).withColumn("passed", (F.col("failures") == 0) & (F.col("empty_layers") == 0) & (F.col("layers") > 0))  # one row each
+
+
+def both_layers(points: DataFrame, cells: DataFrame, fine: dict, coarse: dict) -> DataFrame:
+    """points with the height of each layer, without a fall-back."""
+    both = in_layer(in_layer(points, cells, fine, FINE, "_f"), cells, coarse, COARSE, "_c")
+    return both.select(*points.columns, F.col("_f.elevation_m").alias("fine_m"), F.col("_c.elevation_m").alias("coarse_m"))
 
 
 def sample_points(spark: SparkSession, bounds: tuple[float, float, float, float], n: int, seed: int = 42) -> DataFrame:

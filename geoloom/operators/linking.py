@@ -100,3 +100,52 @@ def latest_context(nodes: DataFrame, order: str = "ord") -> DataFrame:
     w = Window.partitionBy("doc").orderBy(order)
     part = nodes.withColumn("_p", F.count("prefecture").over(w)).withColumn("prefecture", F.last("prefecture", True).over(w))
     return part.withColumn("temple", F.last("temple", True).over(Window.partitionBy("doc", "_p").orderBy(order))).drop("_p")
+
+
+def with_files(images: DataFrame, assets: DataFrame) -> DataFrame:
+    """images (url, ...) with the local file of the last asset (ord, url, path) that has their url."""
+    last = assets.groupBy("url").agg(F.max_by("path", "ord").alias("local_path"))
+    return images.join(last, "url", "left")
+
+
+def with_retrieval(raw: DataFrame, manifest: DataFrame) -> DataFrame:
+    """raw (source_id, ...) with retrieved_at of its manifest entry."""
+    return raw.join(manifest.select("source_id", "retrieved_at"), "source_id", "left")
+
+
+def refreshed_manifest(previous: DataFrame, current: DataFrame, archive: DataFrame, key: str = "url") -> DataFrame:
+    """manifest_merge with the checksum of the archived content (key, content) wherever there is one."""
+    sums = archive.select(key, F.sha2("content", 256).alias("_sum"))
+    merged = manifest_merge(previous, current, key)
+    return merged.join(sums, key, "left").withColumn("sha256", F.coalesce("_sum", "sha256")).drop("_sum")
+
+
+def trail_manifest(courses: DataFrame, pages: DataFrame, tracks: DataFrame) -> DataFrame:
+    """A row for each course (course_id) with whether its page and its track (course_id, sha256) are archived, and its state."""
+    page, track = pages.select("course_id", F.col("sha256").alias("page_sha256")), tracks.select("course_id", F.col("sha256").alias("track_sha256"))
+    rows = courses.select("course_id").join(page, "course_id", "left").join(track, "course_id", "left")
+    state = F.when(F.col("page_sha256").isNull(), "missing_page").when(F.col("track_sha256").isNull(), "missing_track").otherwise("complete")
+    return rows.withColumn("state", state)
+
+
+def trail_violations(courses: DataFrame, manifest: DataFrame, tracks: DataFrame) -> DataFrame:
+    """(id, rule) of a trail archive: repeated courses, courses that the manifest lacks, checksums that differ, tracks without a line."""
+    own = courses.select(F.col("course_id").alias("id"))
+    have = manifest.select(F.col("course_id").alias("id"), "track_sha256")
+    got = tracks.select(F.col("course_id").alias("id"), "sha256", "line_count")
+    rule = lambda df, name: df.select(F.col("id").cast("string").alias("id"), F.lit(name).alias("rule"))
+    found = [
+        rule(own.groupBy("id").agg(F.count("*").alias("n")).where("n > 1"), "course is listed twice"),
+        rule(own.join(have, "id", "left_anti"), "course is not in the manifest"),
+        rule(have.join(got, "id").where(~F.col("track_sha256").eqNullSafe(F.col("sha256"))), "track checksum differs"),
+        rule(got.where("line_count = 0"), "track has no line"),
+    ]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionAll(f)
+    return out
+
+
+def latest_routes(routes: DataFrame) -> DataFrame:
+    """The last row (by ord) of each prefecture and route."""
+    return routes.groupBy("prefecture", "route_id").agg(F.max_by(F.struct("*"), "ord").alias("_r")).select("_r.*")

@@ -213,3 +213,23 @@ def archive_violations(index: DataFrame, details: DataFrame, raw: DataFrame, v1:
     for f in found[1:]:
         out = out.unionAll(f)
     return out
+
+
+def index_violations(index: DataFrame, prefectures: tuple[str, ...], summary: dict[str, int] | None = None) -> DataFrame:
+    """(id, rule) of index rows (source_id, source_url, canonical_url, list_order, prefecture, temple_number).
+
+    summary holds the counts of fetched, skipped and failed details; rules about the whole index have a null id.
+    """
+    one = lambda df, rule: df.select(F.col("source_id").cast("string").alias("id"), F.lit(rule).alias("rule"))
+    whole = index.agg(F.count("*").alias("n"), F.collect_set("prefecture").alias("p")).select(F.lit(None).cast("string").alias("source_id"), "n", "p")
+    found = [
+        one(index.where(~F.col("source_url").eqNullSafe(F.col("canonical_url"))), "source url does not match the id"),
+        one(index.where(~F.col("temple_number").between(1, 88)), "temple number is not of 1 to 88"),
+        one(whole.where(F.size(F.array_except(F.array(*[F.lit(p) for p in prefectures]), "p")) > 0), "a prefecture is missing"),
+    ]
+    if summary is not None:
+        found.append(one(whole.where(F.col("n") != sum(summary.get(k, 0) for k in ("fetched", "skipped", "failed"))), "detail counts differ from the index"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionAll(f)
+    return out

@@ -47,6 +47,70 @@ def lodging_features(objects: DataFrame) -> DataFrame:
     )
 
 
+def subtype_warnings(objects: DataFrame) -> DataFrame:
+    """id and warning of objects whose tourism tag is no known lodging subtype; empty tags make none."""
+    kind = tag("tourism")
+    return objects.where(kind.isNotNull() & ~kind.isin(*LODGING)).select("id", F.concat(F.lit("unknown tourism subtype: "), kind).alias("warning"))
+
+
+def lodging_stats(features: DataFrame) -> DataFrame:
+    """One row of counts over features (kind, subtype, name, lat, lon, phone, website, washing_machine, dryer, internet_access, wifi)."""
+    n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    empty = lambda c: n(F.coalesce(F.col(c), F.lit("")) == "")
+    some = lambda c: F.col(c).isNotNull()
+    unknown = F.array_sort(F.collect_set(F.when(~F.col("subtype").isin(*LODGING), F.col("subtype"))))
+    return features.agg(
+        F.count("*").alias("total"), *[n(F.col("kind") == k).alias(f"{k}s") for k in ("node", "way", "relation")], empty("name").alias("missing_name"),
+        n(F.col("lat").isNull() | F.col("lon").isNull()).alias("missing_coordinate"), empty("phone").alias("missing_phone"), empty("website").alias("missing_website"),
+        n(some("washing_machine") | some("dryer")).alias("with_laundry_tags"), n((F.coalesce("internet_access", F.lit("")) != "") | (F.coalesce("wifi", F.lit("")) != "")).alias("with_internet_tags"),
+        F.array_join(unknown, ",").alias("unknown_subtypes"),
+    )
+
+
+#: Marks and endings of names that look like a numbered temple's but are not, and the forms of numbered names.
+NOISE = ("爺神山ミニ", "別格")
+HALLS = ("大師堂", "観音堂", "善女庵", "法南寺")
+NUMBERED, WIDE_NUMBERED = "(?U)^第(\\d{1,2})番札所", "^第[０-９]{1,2}番札所"
+SEGMENT = "(?U)^四国遍路 (\\d{1,2})番札所(.+?)~(\\d{1,2})番札所(.+)$"
+
+
+def temple_candidates(objects: DataFrame) -> DataFrame:
+    """Places of worship with a numbered name: id, number, name, noise (a mark), hall (an ending), wide (full-width digits)."""
+    name = F.coalesce(F.try_element_at("tags", F.lit("name")), F.lit(""))
+    number = F.translate(F.regexp_extract(name, NUMBERED, 1), "０１２３４５６７８９", "0123456789").cast("int")
+    any_ = lambda test: F.greatest(*[F.coalesce(c, F.lit(False)) for c in test])
+    return worship(objects).where(name.rlike(NUMBERED)).select(
+        "id", number.alias("number"), name.alias("name"), any_([name.contains(x) for x in NOISE]).alias("noise"), any_([name.endswith(x) for x in HALLS]).alias("hall"), name.rlike(WIDE_NUMBERED).alias("wide")
+    )
+
+
+def route_segments(relations: DataFrame) -> DataFrame:
+    """Hiking relations named after two numbered temples: the last relation of each pair of numbers."""
+    name = F.coalesce(tag("name"), F.lit(""))
+    part = lambda i: F.regexp_extract(name, SEGMENT, i)
+    rows = hiking_routes(relations).where(name.rlike(SEGMENT)).select("id", part(1).cast("int").alias("from_number"), part(2).alias("from_name"), part(3).cast("int").alias("to_number"), part(4).alias("to_name"))
+    return rows.groupBy("from_number", "to_number").agg(F.max_by(F.struct("from_name", "to_name", "id"), "id").alias("r")).select("from_number", "to_number", "r.from_name", "r.to_name", F.col("r.id").alias("relation_id"))
+
+
+def segment_status(segments: DataFrame, candidates: DataFrame) -> DataFrame:
+    """segments with whether a candidate without a noise mark has each number: ok or MISSING."""
+    known = F.broadcast(candidates.where("NOT noise").select("number").distinct())  # two digits: 100 numbers at most
+    out = segments
+    for side in ("from", "to"):
+        one = known.select(F.col("number").alias(f"{side}_number"), F.lit("ok").alias(f"{side}_status"))
+        out = out.join(one, f"{side}_number", "left").withColumn(f"{side}_status", F.coalesce(f"{side}_status", F.lit("MISSING")))
+    return out
+
+
+def inventory(objects: DataFrame, relations: DataFrame) -> DataFrame:
+    """One row: places of worship by religion, numbered candidates, hiking relations and numbered segments."""
+    places = worship(objects).agg(F.count("*").alias("worship"), F.count_if(tag("religion") == "buddhist").alias("buddhist"))
+    numbered = temple_candidates(objects).agg(F.count("*").alias("candidates"), F.countDistinct("number").alias("numbers"), F.count_if("noise").alias("noise"))
+    routes = hiking_routes(relations).agg(F.count("*").alias("routes"))
+    pairs = route_segments(relations).agg(F.count("*").alias("segments"))
+    return places.join(F.broadcast(numbered)).join(F.broadcast(routes)).join(F.broadcast(pairs))  # one row each
+
+
 def needed_ways(ways: DataFrame, relations: DataFrame) -> DataFrame:
     """Ways that are members of a relation (semi-join)."""
     refs = relations.select(F.explode("members").alias("m")).where("m.type = 'w'").select(F.col("m.ref").alias("id"))

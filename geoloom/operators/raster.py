@@ -5,7 +5,7 @@ dem_cell (mesh, source_code, row, col, elev, kind): kind 0 is no data.  A finer
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -13,12 +13,12 @@ from ..functions import geo
 #: Kinds of samples by their code.
 KINDS = ("nodata", "terrain", "sea", "inland_water", "seabed", "inland_bottom")
 LETTERS = ((4, "A"), (3, "B"), (2, "C"))
+SIDES = ("min_lat", "max_lat", "min_lon", "max_lon")
 
 
 def checked_grids(rasters: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     """rasters (mesh, source_code, width, height, bounds), failing where sources of a mesh disagree."""
-    sides = ("min_lat", "max_lat", "min_lon", "max_lon")
-    spread = [F.max(c) - F.min(c) for c in sides]
+    spread = [F.max(c) - F.min(c) for c in SIDES]
     bad = F.greatest(F.max("width") - F.min("width"), F.max("height") - F.min("height")) > 0
     for s in spread:
         bad = bad | (s > tolerance)
@@ -27,8 +27,24 @@ def checked_grids(rasters: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     return rasters.join(good, "mesh").where(F.coalesce(F.assert_true(F.col("error").isNull(), F.concat(F.col("mesh"), F.lit(": "), F.col("error"))).isNull(), F.lit(True))).drop("error")
 
 
-def merge_priority(cells: DataFrame) -> DataFrame:
-    """One row for each (mesh, row, col): the valid cell of the highest source, or no data."""
+def blank_cells(grids: DataFrame) -> DataFrame:
+    """A cell without data for every place of grids (mesh, width, height)."""
+    at = F.explode(F.sequence(F.lit(0), F.col("width") * F.col("height") - 1))
+    return grids.select("mesh", "width", at.alias("_k")).select(
+        "mesh", F.floor(F.col("_k") / F.col("width")).cast("int").alias("row"), (F.col("_k") % F.col("width")).cast("int").alias("col"),
+        F.lit(0).alias("source_code"), F.lit(None).cast("int").alias("elev"), F.lit(0).alias("kind"),
+    )
+
+
+def merge_priority(cells: DataFrame, grids: DataFrame | None = None) -> DataFrame:
+    """One row for each (mesh, row, col): the valid cell of the highest source, or no data.
+
+    With grids (mesh, width, height) every place of a mesh has a row, those too that no source stores; they are added
+    before the one aggregation, so there is no join.
+    """
+    names = ("mesh", "row", "col", "source_code", "elev", "kind")
+    if grids is not None:
+        cells = cells.select(*names).unionByName(blank_cells(grids).withColumn("elev", F.col("elev").cast(cells.schema["elev"].dataType)))
     valid = F.col("kind") != 0
     pick = F.max_by(F.when(valid, F.struct("elev", "kind", "source_code")), F.when(valid, F.col("source_code")))
     return cells.groupBy("mesh", "row", "col").agg(pick.alias("p")).select(
@@ -42,6 +58,48 @@ def mesh_wins(merged: DataFrame) -> DataFrame:
     return merged.rollup("mesh").agg(n(4)("a"), n(3)("b"), n(2)("c"), n(0)("nodata"))
 
 
+def region_merge(rasters: DataFrame, cells: DataFrame, coarse_grids: DataFrame, coarse: DataFrame, regions: list[str] | None = None) -> DataFrame:
+    """Totals of a merge by mesh and overall (mesh null): meshes, a, b, c, nodata, fills, remains and the share of gaps filled.
+
+    rasters (region, mesh, source_code, width, height, bounds); a mesh outside its region, a source given twice and
+    sources that disagree on a grid are errors.  A region without a coarse raster has no fills and no remains.
+    """
+    own = in_regions(rasters, regions)
+    strayed = F.concat(F.col("mesh"), F.lit(": not of region "), F.col("region"))
+    own = checked_grids(own.where(F.assert_true(F.substring("mesh", 1, 6) == F.col("region"), strayed).isNull()))
+    grids = own.groupBy("mesh").agg(*[F.first(c).alias(c) for c in ("width", "height", *SIDES)])
+    merged = merge_priority(cells.join(grids.select("mesh"), "mesh", "left_semi"), grids)
+    n = lambda code: F.count_if(F.col("source_code") == code).alias
+    wins = merged.groupBy("mesh").agg(n(4)("a"), n(3)("b"), n(2)("c"), n(0)("nodata"))
+    both = wins.join(coarse_fill(merged, grids, coarse_grids, coarse), "mesh", "left").fillna(0, ["fills", "remains"])
+    sums = [F.sum(c).alias(c) for c in ("a", "b", "c", "nodata", "fills", "remains")]
+    return both.rollup("mesh").agg(F.count("*").alias("meshes"), *sums).withColumn("filled_pct", F.round(F.coalesce(F.try_divide(100 * F.col("fills"), F.col("fills") + F.col("remains")), F.lit(0.0)), 6))
+
+
+def in_regions(rasters: DataFrame, regions: list[str] | None = None, meshes: list[str] | None = None, partial_only: bool = False) -> DataFrame:
+    """rasters of some regions and meshes, or those that store fewer samples (stored) than their grid has."""
+    keep = F.lit(True)
+    if regions is not None:
+        keep = keep & F.substring("mesh", 1, 6).isin(regions)
+    if meshes is not None:
+        keep = keep & F.col("mesh").isin(meshes)
+    if partial_only:
+        keep = keep & (F.col("stored") != F.col("width") * F.col("height"))
+    return rasters.where(keep)
+
+
+def absent_regions(rasters: DataFrame, regions: list[str]) -> DataFrame:
+    """Regions asked for that no raster is of."""
+    asked = rasters.sparkSession.createDataFrame([(x,) for x in regions], "region string")
+    return asked.join(rasters.select(F.substring("mesh", 1, 6).alias("region")).distinct(), "region", "left_anti")
+
+
+def north_to_south(rasters: DataFrame) -> DataFrame:
+    """Regions with their bounds and place, the northernmost first."""
+    by = rasters.groupBy("region").agg(F.max("max_lat").alias("max_lat"), F.min("min_lat").alias("min_lat"))
+    return by.withColumn("place", F.row_number().over(Window.orderBy(F.col("max_lat").desc(), "region")))  # a row for each region
+
+
 def source_combinations(merged: DataFrame) -> DataFrame:
     """How many meshes drew on which sources (letters in order, ``-`` for none)."""
     letter = F.coalesce(*[F.when(F.col("source_code") == code, x) for code, x in LETTERS])
@@ -53,15 +111,35 @@ def kind_counts(cells: DataFrame, *by: str) -> DataFrame:
     return cells.groupBy(*by).agg(*[F.count_if(F.col("kind") == i).alias(name) for i, name in enumerate(KINDS)])
 
 
-def coarse_fill(merged: DataFrame, coarse: DataFrame) -> DataFrame:
-    """Per mesh: cells without data that the coarse raster's terrain fills, and those that remain.
+def coarse_fill(merged: DataFrame, grids: DataFrame, coarse_grids: DataFrame, coarse: DataFrame) -> DataFrame:
+    """Per mesh with gaps: cells without data that the coarse raster's terrain covers, and those that remain.
 
-    Both tables hold (mesh, row, col); fine rows and columns are twice as many.
+    The centre of each gap is looked up in the raster of its region (the mesh's first six digits): grids (mesh, width,
+    height, bounds), coarse_grids (region, width, height, bounds), coarse (region, row, col, elev, kind).  Meshes of a
+    region without a coarse raster are left out.
+    """
+    gaps = merged.where("source_code = 0").select("mesh", "row", "col").join(grids, "mesh")
+    step = lambda low, high, n: (F.col(high) - F.col(low)) / F.col(n)
+    lat, lon = geo.cell_centre(F.col("row"), F.col("col"), F.col("max_lat"), F.col("min_lon"), step("min_lat", "max_lat", "height"), step("min_lon", "max_lon", "width"))
+    centres = gaps.select("mesh", F.substring("mesh", 1, 6).alias("region"), lat.alias("lat"), lon.alias("lon"))
+    met = centres.join(coarse_grids, "region")
+    inside = geo.within(F.col("lat"), F.col("lon"), F.col("min_lat"), F.col("max_lat"), F.col("min_lon"), F.col("max_lon"))
+    row = geo.raster_row(F.col("lat"), F.col("max_lat"), step("min_lat", "max_lat", "height"), F.col("height"))
+    col = geo.raster_col(F.col("lon"), F.col("min_lon"), step("min_lon", "max_lon", "width"), F.col("width"))
+    placed = met.select("mesh", "region", F.when(inside, row).alias("row"), F.when(inside, col).alias("col"))
+    land = coarse.where("kind = 1 AND elev IS NOT NULL").select("region", "row", "col", F.lit(True).alias("land"))
+    got = placed.join(land, ["region", "row", "col"], "left")
+    return got.groupBy("mesh").agg(F.count("land").alias("fills"), F.count_if(F.col("land").isNull()).alias("remains"))
+
+
+def sample_at(points: DataFrame, cells: DataFrame) -> DataFrame:
+    """points (mesh, row, col, ...) with elev and kind of the stored cell.
+
+    Both are null where nothing is stored; NaN heights are null, unknown kinds are no data.
     """
-    gaps = merged.where("kind = 0").select("mesh", F.floor(F.col("row") / 2).cast("int").alias("r2"), F.floor(F.col("col") / 2).cast("int").alias("c2"))
-    land = coarse.where("kind = 1").select(F.col("mesh").alias("m2"), F.col("row").alias("cr"), F.col("col").alias("cc")).distinct()
-    got = gaps.join(land, (gaps.mesh == land.m2) & (gaps.r2 == land.cr) & (gaps.c2 == land.cc), "left")
-    return got.groupBy("mesh").agg(F.count(F.col("cr")).alias("fills"), F.count_if(F.col("cr").isNull()).alias("remains"))
+    kind = F.when(F.col("kind").between(0, 5), F.col("kind")).otherwise(0)
+    own = cells.select("mesh", "row", "col", F.when(~F.isnan(F.col("elev").cast("double")), F.col("elev")).alias("elev"), kind.alias("kind"))
+    return points.join(own, ["mesh", "row", "col"], "left")
 
 
 def to_tiles(merged: DataFrame, offset_row: Column, offset_col: Column) -> DataFrame:
@@ -84,6 +162,11 @@ def layer_coverage(cells: DataFrame) -> DataFrame:
     return tiles.groupBy("layer").agg(F.count("*").alias("tiles"), F.sum("n").alias("valid"), (F.count("*") * 65536 - F.sum("n")).alias("nodata"))
 
 
+def tile_bytes(tiles: DataFrame, cell_bytes: int = 3) -> DataFrame:
+    """Per layer of packed tiles (layer, data): tiles, raw and compressed bytes."""
+    return tiles.groupBy("layer").agg(F.count("*").alias("tiles"), (F.count("*") * (geo.TILE_CELLS**2 * cell_bytes)).alias("raw_bytes"), F.sum(F.octet_length("data")).alias("compressed_bytes"))
+
+
 def layer_sources(cells: DataFrame) -> DataFrame:
     return cells.groupBy("layer", "source_code").agg(F.count("*").alias("n"))
 

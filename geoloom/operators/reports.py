@@ -63,3 +63,55 @@ def violations(checks: dict[str, DataFrame]) -> DataFrame:
         one = found.agg(F.count("*").alias("n")).select(F.lit(rule).alias("rule"), "n")
         out = one if out is None else out.unionAll(one)
     return out.where("n > 0")
+
+
+def record_stats(records: DataFrame) -> DataFrame:
+    """One row over records (name, prefecture, table_kind, has_detail): counts, repeated names, maps by prefecture and kind."""
+    names = records.groupBy("name").agg(F.count("*").alias("n"))
+    repeated = names.where("n > 1").agg(F.count("*").alias("repeated_names"), F.coalesce(F.sum("n"), F.lit(0)).alias("repeated_listings"))
+    counts = records.agg(F.count("*").alias("records"), F.count_if("has_detail").alias("with_detail"), F.count_if(~F.col("has_detail")).alias("without_detail"), F.count_if(F.col("table_kind") == "temple").alias("temple"), F.count_if(F.col("table_kind") == "route").alias("route"))
+    total = names.agg(F.count("*").alias("distinct_names"))
+    return counts.join(F.broadcast(total)).join(F.broadcast(repeated))  # one row each
+
+
+def manifest_summary(index: DataFrame) -> DataFrame:
+    """One row over index records (prefecture, closure_marker, temple_number): counts and the temple numbers in order."""
+    return index.agg(
+        F.count("*").alias("record_count"), F.countDistinct("prefecture").alias("prefectures"), F.count_if(F.coalesce("closure_marker", F.lit("")) != "").alias("closure_marker_count"),
+        F.array_join(F.array_sort(F.collect_set("temple_number")).cast("array<string>"), ",").alias("temple_numbers"),
+    )
+
+
+def status_counts(rows: DataFrame, *statuses: str) -> DataFrame:
+    """One row: how many rows have each status, and all others."""
+    return rows.agg(*[F.count_if(F.col("status") == s).alias(s) for s in statuses], F.count_if(~F.coalesce(F.col("status").isin(*statuses), F.lit(False))).alias("other"))
+
+
+def dataset_summary(courses: DataFrame, warnings: DataFrame) -> DataFrame:
+    """One row over normalized courses (photo_point, tourism_spots, placemarks) and warnings."""
+    size = lambda c: F.coalesce(F.sum(F.greatest(F.size(c), F.lit(0))), F.lit(0))
+    own = courses.agg(F.count("*").alias("course_count"), F.count_if(F.col("photo_point").isNotNull()).alias("photo_point_count"), size("tourism_spots").alias("tourism_spot_count"), size("placemarks").alias("placemark_count"))
+    return own.join(F.broadcast(warnings.agg(F.count("*").alias("warning_count"))))  # one row each
+
+
+def accounting(counters: DataFrame) -> DataFrame:
+    """Rules that trail counters (a row for each prefecture and the total) break: rule, n."""
+    c = F.col
+    rules = {
+        "no route": c("route_segments") < c("courses"),
+        "spots": c("linked_tourism_spots") + c("unmatched_tourism_spots") != c("tourism_spots"),
+        "points": c("route_coordinate_points") < 2 * c("route_segments"),
+    }
+    broken = F.explode(F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()])))
+    return counters.select(broken.alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
+
+
+def archive_listing(rasters: DataFrame) -> DataFrame:
+    """Meshes of archives (path, mesh, source_code, width, height, stored) in order, with totals at the end (mesh null)."""
+    full = F.col("stored") == F.col("width") * F.col("height")
+    return rasters.rollup("mesh").agg(F.count("*").alias("rasters"), F.sum("stored").alias("stored"), F.sum(F.col("width") * F.col("height")).alias("cells"), F.count_if(~full).alias("partial")).orderBy(F.col("mesh").asc_nulls_last())
+
+
+def by_number(rows: DataFrame, column: str) -> DataFrame:
+    """Rows in the order of a column's numbers, with their place; texts that are no number come last."""
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.col(column).try_cast("long").asc_nulls_last(), column)))

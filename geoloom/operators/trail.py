@@ -77,7 +77,7 @@ def counters(courses: DataFrame) -> DataFrame:
     for r in rows[1:]:
         all_ = all_.unionAll(r)
     n = lambda what: F.coalesce(F.sum(F.when(F.col("what") == what, F.col("n"))), F.lit(0))
-    plain = ("courses", "route_segments", "route_coordinate_points", "kml_pois", "ambiguous_names", "photo_points", "matched_photo_points")
+    plain = ("courses", "route_segments", "route_coordinate_points", "kml_pois", "tourism_spots", "ambiguous_names", "photo_points", "matched_photo_points")
     return all_.rollup("prefecture").agg(
         *[n(w).alias(w) for w in plain], n("linked").alias("linked_tourism_spots"), (n("tourism_spots") - n("linked")).alias("unmatched_tourism_spots"), (n("kml_pois") - n("linked")).alias("unmatched_pois")
     )

@@ -2,28 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..operators import elevation, linking, osm, profile, raster, reports
 from ..sources import archives
-from .projections import CELLS_SQL, COARSE_GRID, DEM_SQL, FINE_GRID, POINTS_SQL, dem_cells, elev_cells, points, read
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+from .projections import CELLS_SQL, COARSE_GRID, FINE_GRID, POINTS_SQL, elev_cells, points, read
+from .registry import QUERIES, SQL, query  # noqa: F401
 
 
 @query(f"""WITH {POINTS_SQL}, g AS (SELECT point_id, CAST(floor((33.75e0 - lat) * 512) AS BIGINT) AS gy, CAST(floor((lon - 133.25e0) * 512) AS BIGINT) AS gx, lat, lon FROM pts)
@@ -62,44 +48,6 @@ def golden_check(spark, d):
     return elevation.golden_check(rows).select("point_id", "elevation_m", "expected_m", "expected_layer", "diff_m", "ok")
 
 
-@query(f"WITH {DEM_SQL} SELECT * FROM merged")
-def merge_priority(spark, d):
-    return raster.merge_priority(dem_cells(spark, d))
-
-
-@query(f"""WITH {DEM_SQL} SELECT mesh, count(*) FILTER (source_code = 4) AS a, count(*) FILTER (source_code = 3) AS b, count(*) FILTER (source_code = 2) AS c,
-count(*) FILTER (source_code = 0) AS nodata FROM merged GROUP BY ROLLUP (mesh)""")
-def merge_wins_rollup(spark, d):
-    return raster.mesh_wins(raster.merge_priority(dem_cells(spark, d)))
-
-
-@query(f"""WITH {DEM_SQL}, s AS (SELECT mesh, coalesce(string_agg(DISTINCT x, '' ORDER BY x), '') AS s FROM (
-SELECT mesh, CASE source_code WHEN 4 THEN 'A' WHEN 3 THEN 'B' WHEN 2 THEN 'C' END AS x FROM merged) GROUP BY mesh)
-SELECT CASE WHEN s = '' THEN '-' ELSE s END AS combo, count(*) AS n FROM s GROUP BY 1""")
-def source_combos(spark, d):
-    return raster.source_combinations(raster.merge_priority(dem_cells(spark, d)))
-
-
-@query(f"""WITH {DEM_SQL} SELECT mesh, count(*) FILTER (kind = 0) AS nodata, count(*) FILTER (kind = 1) AS terrain, count(*) FILTER (kind = 2) AS sea,
-count(*) FILTER (kind = 3) AS inland_water, count(*) FILTER (kind = 4) AS seabed, count(*) FILTER (kind = 5) AS inland_bottom FROM merged GROUP BY mesh""")
-def kind_counts(spark, d):
-    return raster.kind_counts(raster.merge_priority(dem_cells(spark, d)), "mesh")
-
-
-@query(f"""WITH {DEM_SQL}, coarse AS (SELECT DISTINCT mesh, "row", col FROM dem WHERE source_code = 1 AND kind = 1)
-SELECT m.mesh, count(c.mesh) AS fills, count(*) FILTER (c.mesh IS NULL) AS remains FROM merged m
-LEFT JOIN coarse c ON c.mesh = m.mesh AND c."row" = m."row" // 2 AND c.col = m.col // 2 WHERE m.kind = 0 GROUP BY m.mesh""")
-def dem10_fill(spark, d):
-    cells = dem_cells(spark, d)
-    return raster.coarse_fill(raster.merge_priority(cells), cells.where("source_code = 1"))
-
-
-@query(f"""WITH {DEM_SQL} SELECT CAST(floor((CAST(mesh AS INT) * 225 + col) / 256e0) AS BIGINT) AS tile_x, CAST(floor(("row" + 200) / 256e0) AS BIGINT) AS tile_y,
-CAST((CAST(mesh AS INT) * 225 + col) % 256 AS INT) AS px, CAST(("row" + 200) % 256 AS INT) AS py, CAST(elev AS SMALLINT) AS meters, source_code FROM merged WHERE kind <> 0""")
-def tile_placement(spark, d):
-    return raster.to_tiles(raster.merge_priority(dem_cells(spark, d)), F.lit(200), F.col("mesh").cast("int") * 225)
-
-
 @query(f"""WITH {CELLS_SQL}, t AS (SELECT layer, tile_x, tile_y, count(*) AS n FROM cells GROUP BY 1, 2, 3)
 SELECT CAST(layer AS INT) AS layer, count(*) AS tiles, CAST(sum(n) AS BIGINT) AS valid, CAST(count(*) * 65536 - sum(n) AS BIGINT) AS nodata FROM t GROUP BY 1""")
 def layer_coverage(spark, d):
@@ -127,12 +75,12 @@ def profile_segments(spark, d):
     return profile.segments(rows, "route")
 
 
-@query("""WITH l AS (SELECT o_orderkey AS line, 20 * (1 + o_custkey % 9) + o_orderkey % 20 AS len FROM orders WHERE o_orderkey % 10 = 0),
+@query("""WITH l AS (SELECT o_orderkey AS line, 20 * (1 + o_custkey % 9) + o_orderkey % 20 AS len FROM orders),
 s AS (SELECT line, len, unnest(generate_series(0, len // 20)) * 20 AS m FROM l UNION ALL SELECT line, len, len FROM l WHERE len % 20 <> 0)
 SELECT line, CAST(m AS DOUBLE) AS distance_m, round(m / CAST(len AS DOUBLE), 9) AS share FROM s""")
 def resample_line(spark, d):
     n = F.lit(20) * (1 + F.col("o_custkey") % 9) + F.col("o_orderkey") % 20
-    lines = read(spark, d, "orders").where("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("line"), n.cast("double").alias("len"))
+    lines = read(spark, d, "orders").select(F.col("o_orderkey").alias("line"), n.cast("double").alias("len"))
     ends = F.explode(F.array(F.struct(F.lit(0).alias("ord"), F.lit(0.0).alias("distance_m"), F.lit(0.0).alias("lat")), F.struct(F.lit(1).alias("ord"), F.col("len").alias("distance_m"), F.lit(1.0).alias("lat"))))
     corners = lines.select("line", ends.alias("e")).select("line", "e.*", F.lit(0.0).alias("lon"))
     return profile.resampled(corners, 20.0, "line").select("line", "distance_m", F.round("lat", 9).alias("share"))
@@ -223,11 +171,6 @@ def coverage_counts(spark, d):
     return reports.coverage(read(spark, d, "documents"), {"with_text": F.col("text") != "", "long": F.col("n_chars") >= 1000, "with_digits": F.col("text").rlike("[0-9]")})
 
 
-@query("SELECT o_orderpriority AS prefecture, count(*) FILTER (o_orderstatus = 'O') AS open, count(*) FILTER (o_totalprice > 100000) AS large FROM orders GROUP BY ROLLUP (o_orderpriority)")
-def trail_totals(spark, d):
-    return reports.totals(read(spark, d, "orders").withColumnRenamed("o_orderpriority", "prefecture"), "prefecture", {"open": F.col("o_orderstatus") == "O", "large": F.col("o_totalprice") > 100000})
-
-
 @query("SELECT CAST(g AS INT) AS number FROM generate_series(1, 88) t(g) WHERE g NOT IN (SELECT 1 + (p_partkey * 7) % 88 FROM part WHERE p_size < 5)")
 def missing_numbers(spark, d):
     return reports.missing_numbers(read(spark, d, "part").where("p_size < 5").select((1 + (F.col("p_partkey") * 7) % 88).alias("number")), "number", 1, 88)
@@ -243,29 +186,11 @@ def segment_labels(spark, d):
     return reports.numbered(read(spark, d, "orders"), "o_custkey", "o_orderkey", "_L%03d").select("o_orderkey", "label")
 
 
-@query("""SELECT user_id AS doc, event_id AS ord, last_value(CASE WHEN event_type = 'click' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id) AS prefecture FROM events""")
-def latest_context(spark, d):
-    nodes = read(spark, d, "events").select(F.col("user_id").alias("doc"), F.col("event_id").alias("ord"), F.when(F.col("event_type") == "click", F.col("event_id")).alias("prefecture"), F.lit(None).cast("long").alias("temple"))
-    return linking.latest_context(nodes).select("doc", "ord", "prefecture")
-
-
 @query("SELECT CAST(o_custkey AS BIGINT) AS o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
 def first_per_key(spark, d):
     return linking.first_per_key(read(spark, d, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey")
 
 
-@query("""SELECT o_orderkey, count(l_orderkey) AS found, count(*) FILTER (l_orderkey IS NULL) AS missing FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 25) l ON l_orderkey = o_orderkey GROUP BY 1""")
-def relation_members(spark, d):
-    members = read(spark, d, "lineitem").where("l_quantity > 25").select("l_orderkey")
-    return read(spark, d, "orders").join(members, F.col("l_orderkey") == F.col("o_orderkey"), "left").groupBy("o_orderkey").agg(F.count("l_orderkey").alias("found"), F.count_if(F.col("l_orderkey").isNull()).alias("missing"))
-
-
-@query("SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'N')")
-def semi_anti_members(spark, d):
-    line = lambda flag: read(spark, d, "lineitem").where(F.col("l_returnflag") == flag).select(F.col("l_orderkey").alias("o_orderkey"))
-    return read(spark, d, "orders").select("o_orderkey").join(line("R"), "o_orderkey", "left_semi").join(line("N"), "o_orderkey", "left_anti")
-
-
 @query("""SELECT event_id, CAST(2 + event_id % 20 AS VARCHAR) || ':' || lpad(CAST((event_id * 7) % 60 AS VARCHAR), 2, '0') AS raw,
 lpad(CAST(2 + event_id % 20 AS VARCHAR), 2, '0') || ':' || lpad(CAST((event_id * 7) % 60 AS VARCHAR), 2, '0') AS start_time, CASE WHEN event_id % 3 = 0 THEN '21:00' END AS end_time,
 lpad(CAST(2 + event_id % 20 AS VARCHAR), 2, '0') || ':' || lpad(CAST((event_id * 7) % 60 AS VARCHAR), 2, '0') || CASE event_id % 3 WHEN 0 THEN '-21:00' WHEN 1 THEN '-' ELSE '' END AS shown FROM events""")
@@ -361,3 +286,6 @@ def lodging_tags(spark, d):
     tags = F.create_map(F.lit("tourism"), kind, F.lit("phone"), F.when(k % 3 == 0, F.col("o_custkey").cast("string")).otherwise(" "), F.lit("contact:phone"), F.when(k % 3 == 1, "c").otherwise(""))
     rows = read(spark, d, "orders").select(k.alias("id"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"), tags.alias("tags"))
     return osm.lodging_features(osm.lodging(rows)).select(F.col("id").alias("o_orderkey"), "subtype", "phone")
+
+
+from . import catalog_rasters, catalog_records  # noqa: E402, F401  (they register their queries)
