@@ -233,14 +233,28 @@ def url_parts(spark, d):
     return read(spark, d, "pages").select("page_id", F.coalesce(F.try_parse_url("url", F.lit("HOST")), F.lit("")).alias("host"), text.image_url(F.col("url")).url.alias("canonical"), text.empty_to_null(F.regexp_extract("url", "([0-9]+)", 1)).alias("first_id"))
 
 
-@query()
+def _built_pages(spark, d):
+    """A small page for each of the table's pages, whose elements SQL can name."""
+    k = F.col("page_id").cast("string")
+    page = F.concat(F.lit("<div><p>x</p><a href='/p"), k, F.lit("?q=1&amp;r=2'>T <b>"), k, F.lit("</b></a><a>none</a><table><tr><th>k</th><td>"), k, F.lit("<br>v</td></tr></table></div>"))
+    return read(spark, d, "pages").select("page_id", page.alias("html"))
+
+
+@query("""SELECT page_id, 2 AS ord, '/p' || CAST(page_id AS VARCHAR) || '?q=1&r=2' AS href, 'T ' || CAST(page_id AS VARCHAR) AS text FROM pages""")
 def html_links(spark, d):
-    return archives.page_links(archives.page_nodes(read(spark, d, "pages"), "page_id", "html"), "page_id")
+    return archives.page_links(archives.page_nodes(_built_pages(spark, d), "page_id", "html", ("a",)), "page_id")
 
 
-@query()
+@query("""SELECT page_id, 6 AS "row", 'k|' || CAST(page_id AS VARCHAR) || chr(10) || 'v' AS cells FROM pages""")
 def html_tables(spark, d):
-    return archives.page_tables(archives.page_nodes(read(spark, d, "pages"), "page_id", "html"), "page_id")
+    rows = archives.page_tables(archives.page_nodes(_built_pages(spark, d), "page_id", "html", ("td", "th")), "page_id")
+    return rows.select("page_id", "row", F.array_join("cells", "|").alias("cells"))
+
+
+@query()
+def page_anchors(spark, d):
+    """The links of the raw pages."""
+    return archives.page_links(archives.page_nodes(read(spark, d, "pages"), "page_id", "html", ("a",)), "page_id")
 
 
 @query("SELECT event_id, json_extract_string(props, '$.page') AS page, CAST(length(props) AS INT) AS n FROM events")

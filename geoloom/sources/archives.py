@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -163,8 +164,9 @@ class _Nodes(HTMLParser):
 
     VOID = ("br", "img", "hr", "meta", "link", "input", "iframe")
 
-    def __init__(self):
+    def __init__(self, wanted: tuple[str, ...] | None = None):
         super().__init__(convert_charrefs=True)
+        self.wanted = wanted
         self.nodes: list[dict] = []
         self.open: list[int] = []
 
@@ -183,31 +185,50 @@ class _Nodes(HTMLParser):
 
     def handle_data(self, data):
         for i in self.open:
-            self.nodes[i]["text"].append(data)
+            if self.wanted is None or self.nodes[i]["tag"] in self.wanted:
+                self.nodes[i]["text"].append(data)
 
 
 NODE = "ord int, tag string, parent int, attrs map<string,string>, text string"
 
 
-def html_nodes(page: str) -> list[tuple]:
-    parser = _Nodes()
+def html_nodes(page: str, tags: tuple[str, ...] | None = None) -> list[tuple]:
+    """The elements of a page (those of some tags) in document order; texts are gathered for these alone."""
+    parser = _Nodes(tags)
     parser.feed(page or "")
     clean = lambda t: "\n".join(x for x in (re.sub(r"[ \t\r\f\v　]+", " ", y).strip() for y in t.split("\n")) if x)
-    return [(i, n["tag"], n["parent"], n["attrs"], clean("".join(n["text"]))) for i, n in enumerate(parser.nodes)]
+    return [(i, n["tag"], n["parent"], n["attrs"], clean("".join(n["text"]))) for i, n in enumerate(parser.nodes) if tags is None or n["tag"] in tags]
 
 
-def page_nodes(pages: DataFrame, key: str, column: str) -> DataFrame:
-    """key and NODE columns, one row for each element of every page in document order."""
-    kind = pages.schema[key].dataType.simpleString()
+#: Elements that go to Spark in one batch.
+TOGETHER = 20_000
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for k, page in zip(f[key], f[column]):
-                rows = [(k, *n) for n in html_nodes(page)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=[key, "ord", "tag", "parent", "attrs", "text"])
 
-    return pages.select(key, column).mapInPandas(run, f"{key} {kind}, {NODE}")
+def page_nodes(pages: DataFrame, key: str, column: str, tags: tuple[str, ...] | None = None) -> DataFrame:
+    """key and NODE columns, one row for each element (of some tags) of every page in document order."""
+    kind = pages.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+
+        def sent() -> pa.RecordBatch:
+            columns = list(zip(*rows)) or [()] * 6
+            rows.clear()
+            types = [None, pa.int32(), pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.string()]
+            attrs = [list(x.items()) for x in columns[4]]
+            return pa.RecordBatch.from_arrays([pa.array(attrs if i == 4 else c, key_type if i == 0 else t) for i, (c, t) in enumerate(zip(columns, types))], names=[key, "ord", "tag", "parent", "attrs", "text"])
+
+        key_type = None
+        for batch in batches:
+            key_type = batch.schema.field(0).type
+            for k, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows += [(k, *n) for n in html_nodes(page, tags)]
+                if len(rows) >= TOGETHER:
+                    yield sent()
+        if rows:
+            yield sent()
+
+    return pages.select(key, column).mapInArrow(run, f"{key} {kind}, {NODE}")
 
 
 def page_links(nodes: DataFrame, key: str) -> DataFrame:
