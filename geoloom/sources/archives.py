@@ -42,6 +42,20 @@ def one_per_region(archives: DataFrame) -> DataFrame:
     return rows.join(twice, "region").where(F.assert_true(F.col("n") == 1, F.concat(F.lit("two archives for region "), F.col("region"))).isNull()).drop("n")
 
 
+def fine_archives(archives: DataFrame) -> DataFrame:
+    """region and paths (in order) of archives that name a region and are not of the coarse product."""
+    rows = archives.select("path", region_of(F.col("path")).alias("region")).where(~F.upper(F.element_at(F.split("path", "/"), -1)).contains("DEM10B") & F.col("region").isNotNull())
+    return rows.groupBy("region").agg(F.array_sort(F.collect_list("path")).alias("paths"))  # a few files a region
+
+
+def coarse_rasters(archives: DataFrame, meta_only: bool = False) -> DataFrame:
+    """region and the raster of the first XML entry of each region's one coarse archive; with meta_only its bounds and size alone."""
+    coarse = archives.where(F.upper(F.element_at(F.split("path", "/"), -1)).contains("DEM10B"))
+    entries = xml_entries(one_per_region(coarse).drop("region"))
+    first = entries.groupBy("path").agg(F.min_by(F.struct("entry", "content"), "entry").alias("e")).select("path", "e.entry", "e.content")
+    return dem_rasters(first, meta_only).withColumn("region", region_of(F.col("path")))
+
+
 def xml_entries(archives: DataFrame) -> DataFrame:
     """path, entry, content of the XML entries, those of nested archives too."""
 
@@ -246,6 +260,16 @@ def script_array(page: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(page, f"(?s)var {name} = (\\[.*?\\]);", 1), F.lit(""))
 
 
+SPOT = "array<struct<Spot: map<string,string>, SpotContent: map<string,string>>>"
+
+
+def script_spots(pages: DataFrame, column: str = "html", category: str = "3") -> DataFrame:
+    """spot and content of the spots of one category in the pages' ``spots`` array; a page without one is an error."""
+    array = script_array(F.col(column), "spots")
+    found = pages.where(F.assert_true(array.isNotNull(), F.lit("a page has no spots array")).isNull()).select(F.explode(F.from_json(array, SPOT)).alias("s"))
+    return found.where(F.try_element_at("s.Spot", F.lit("spot_category_id")) == category).select(F.col("s.Spot").alias("spot"), F.col("s.SpotContent").alias("content"))
+
+
 # KML
 
 

@@ -29,6 +29,24 @@ def with_fields(rows: DataFrame, *names: str) -> DataFrame:
     return rows.withColumn("value", F.concat(body, F.when(body.rlike("\\{\\s*$"), "").otherwise(","), added, F.lit("}")))
 
 
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """ord and the columns of schema of JSON lines; ord rises in file order.  Blank lines go, bad ones are errors."""
+    rows = spark.read.text(path).where(F.trim("value") != "").withColumn("ord", F.monotonically_increasing_id())
+    return rows.select("ord", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("ord", "r.*")
+
+
+GOLDEN = "tolerance_m struct<dem5: double, dem10: double>, points array<struct<name: string, lat: double, lon: double, expected_m: double, layer: string>>"
+
+
+def golden_points(spark: SparkSession, path: str) -> DataFrame:
+    """ord, name, lat, lon, expected_m, expected_layer and tolerance_m of a golden document; a field that is missing is an error."""
+    doc = spark.read.schema(GOLDEN).option("mode", "FAILFAST").json(path, multiLine=True)
+    p = doc.select("tolerance_m", F.posexplode("points").alias("ord", "p")).select("ord", "p.name", "p.lat", "p.lon", "p.expected_m", F.col("p.layer").alias("expected_layer"), "tolerance_m")
+    limit = F.when(F.col("expected_layer") == "dem5", F.col("tolerance_m.dem5")).otherwise(F.col("tolerance_m.dem10"))
+    whole = F.col("name").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("expected_m").isNotNull() & F.col("expected_layer").isin("dem5", "dem10") & limit.isNotNull()
+    return p.where(F.assert_true(F.coalesce(whole, F.lit(False)), F.concat(F.lit("bad golden point "), F.col("ord").cast("string"))).isNull()).withColumn("tolerance_m", limit)
+
+
 FEATURES = "type string, features array<struct<properties: struct<route_id: string, segment_id: string>, geometry: struct<type: string, coordinates: array<array<double>>>>>"
 
 

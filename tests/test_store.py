@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import geo
 from geoloom.operators import elevation, linking, osm, raster, reports, store
-from geoloom.sources import exports
+from geoloom.sources import archives, exports, records
 
 GRIDS = "layer int, origin_lat double, origin_lon double, step_lat double, step_lon double"
 SIDES = "min_lat double, max_lat double, min_lon double, max_lon double"
@@ -114,3 +114,34 @@ def test_last_asset_of_a_url(spark):
     images = spark.createDataFrame([("u",), ("v",)], "url string")
     assets = spark.createDataFrame([(0, "u", "a"), (1, "u", "b")], "ord int, url string, path string")
     assert {r.url: r.local_path for r in linking.with_files(images, assets).collect()} == {"u": "b", "v": None}
+
+
+def test_json_lines_and_golden_points(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"x": 2}\n\n{"x": 1}\n')
+    assert [r.x for r in records.json_lines(spark, str(tmp_path / "a.jsonl"), "x int").orderBy("ord").collect()] == [2, 1]
+    (tmp_path / "bad.jsonl").write_text("{x\n")
+    with pytest.raises(Exception):
+        records.json_lines(spark, str(tmp_path / "bad.jsonl"), "x int").collect()
+    point = {"name": "a", "lat": 33.5, "lon": 133.5, "expected_m": 4.0, "layer": "dem10"}
+    (tmp_path / "golden.json").write_text(json.dumps({"tolerance_m": {"dem5": 3, "dem10": 7}, "points": [point, point | {"layer": "dem5"}]}))
+    got = records.golden_points(spark, str(tmp_path / "golden.json")).orderBy("ord").collect()
+    assert [(r.name, r.expected_layer, r.tolerance_m) for r in got] == [("a", "dem10", 7.0), ("a", "dem5", 3.0)]
+    (tmp_path / "golden2.json").write_text(json.dumps({"tolerance_m": {"dem5": 3, "dem10": 7}, "points": [point | {"lat": None}]}))
+    with pytest.raises(Exception, match="bad golden point 0"):
+        records.golden_points(spark, str(tmp_path / "golden2.json")).collect()
+
+
+def test_archives_by_region(spark):
+    rows = spark.createDataFrame([(f"/d/{n}",) for n in ("FG-5033-01-DEM5A.zip", "FG-5033-01-DEM5B.zip", "FG-5034-00-DEM10B.zip", "x.zip")], "path string")
+    assert [tuple(r) for r in archives.fine_archives(rows).collect()] == [("503301", ["/d/FG-5033-01-DEM5A.zip", "/d/FG-5033-01-DEM5B.zip"])]
+    twice = spark.createDataFrame([("/a/FG-5034-00-DEM10B.zip",), ("/b/FG-5034-00-DEM10B.zip",)], "path string").withColumn("content", F.lit(b""))
+    with pytest.raises(Exception, match="two archives for region 503400"):
+        archives.coarse_rasters(twice).collect()
+
+
+def test_spots_in_a_script(spark):
+    page = "<script>var spots = [{\"Spot\":{\"spot_category_id\":\"3\",\"number\":\"7\"},\"SpotContent\":{\"tel_ja\":\"1\"}},{\"Spot\":{\"spot_category_id\":\"4\"}}];</script>"
+    got = archives.script_spots(spark.createDataFrame([(page,)], "html string")).collect()
+    assert [(r.spot["number"], r.content["tel_ja"]) for r in got] == [("7", "1")]
+    with pytest.raises(Exception, match="no spots"):
+        archives.script_spots(spark.createDataFrame([("none",)], "html string")).collect()
