@@ -37,7 +37,8 @@ from pyspark.sql import types as T
 from .common import batches, frugal, kept, table
 
 SAMPLE_DOCS, SAMPLE_CHARS, LANGUAGE_CHARS = 64, (200, 8000), 24_000
-SHORT_DOCS = 1200
+#: At most 1000, from where on Spark no longer cuts groups before the shuffle.
+SHORT_DOCS = 1000
 STRETCH = 256
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
