@@ -17,7 +17,8 @@ that is under half of it, up to ``SHORT_DOCS`` shorter texts are joined, so that
 letter is learned.  Lengths are those of text.  These bounds do not depend on the corpus.
 
 Cases: null texts and texts without a letter give ``und`` with score 0; ties go to the language whose name is
-first; a null doc_id is neither learned from nor held out; repeated rows are each predicted; texts of any length
+first; a null doc_id is neither learned from nor held out; repeated rows are each predicted, and learned
+once (of texts with one doc_id and lang, the shortest that fits); texts of any length
 are parsed whole; with no labelled text all texts are ``und``; an empty table gives no rows; further columns are
 ignored.
 """
@@ -37,7 +38,6 @@ from pyspark.sql import types as T
 from .common import batches, frugal, kept, table
 
 SAMPLE_DOCS, SAMPLE_CHARS, LANGUAGE_CHARS = 64, (200, 8000), 24_000
-#: At most 1000, from where on Spark no longer cuts groups before the shuffle.
 SHORT_DOCS = 1000
 STRETCH = 256
 FOLDS, HELD_OUT = 4, 2
@@ -214,14 +214,34 @@ class CrossParser:
         return [self.languages[i] if s else UNKNOWN for i, s in zip(least.tolist(), some.tolist())], score, np.where(some, best, 0.0), sizes
 
 
+def chosen_texts(docs: DataFrame, trained: Column) -> DataFrame:
+    """own (the language), rank and text of the documents that are learned from: SHORT_DOCS a language at most.
+
+    The hashes of doc_id are counted in classes that each hold a sixth of what is left (without repeats), so all classes up to
+    the one in which a language's sample ends hold little more than the sample: only those rows are shuffled and
+    ranked, however many rows and tasks there are.
+    """
+    text, h = F.col("text").cast("string"), F.xxhash64("doc_id")
+    size = F.length(text)
+    later = F.when(size.between(*SAMPLE_CHARS), 0).otherwise(1)
+    part = (h.cast("double") + F.lit(2.0**63) + 1) / F.lit(2.0**64)
+    place = (later * 512 + 256 - F.floor(-4 * F.log2(part))).cast("int")
+    named = docs.select("doc_id", "lang", "text").where(trained & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & text.rlike("\\p{L}"))
+    rows = named.select("doc_id", "lang", text.alias("text"), size.alias("n"), later.alias("later"), h.alias("h"), place.alias("place"))
+    counts = rows.groupBy("lang", "place").agg(F.approx_count_distinct("h").alias("many"))
+    before = F.coalesce(F.sum("many").over(Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = counts.withColumn("before", before).where(F.col("before") < 2 * SHORT_DOCS).groupBy(F.col("lang").alias("own")).agg(F.max("place").alias("last"))
+    near = rows.join(F.broadcast(last), F.col("lang") == F.col("own")).where("place <= last")  # a row a language is broadcast
+    near = near.select("own", "h", "doc_id", F.struct("later", "n", F.substring("text", 1, SAMPLE_CHARS[1]).alias("text")).alias("one"))
+    near = near.groupBy("own", "h", "doc_id").agg(F.min("one").alias("one"))
+    rank = F.row_number().over(Window.partitionBy("own").orderBy("one.later", "h", "doc_id"))
+    few = near.withColumn("rank", rank).where(F.col("rank") <= SHORT_DOCS)
+    return few.where((F.col("rank") <= SAMPLE_DOCS) | (F.col("one.n") < SAMPLE_CHARS[0])).select("own", "rank", "one.text")
+
+
 def learned_samples(docs: DataFrame, trained: Column) -> dict[str, str]:
     """A bounded sample of labelled text of each language: its letters are learned."""
-    text = F.col("text").cast("string")
-    fits, short = F.col("n").between(*SAMPLE_CHARS), F.col("n") < SAMPLE_CHARS[0]
-    rows = docs.where(trained & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & text.rlike("\\p{L}")).select("doc_id", "lang", F.length(text).alias("n"), F.xxhash64("doc_id").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.when(fits, 0).otherwise(1), "h", "doc_id"))
-    chosen = rows.withColumn("rank", rank).where(F.col("rank") <= SHORT_DOCS).where((F.col("rank") <= SAMPLE_DOCS) | short).select("doc_id", F.col("lang").alias("own"), "rank")
-    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").where("lang = own").select("own", "rank", F.substring(text, 1, SAMPLE_CHARS[1]).alias("text"))  # at most SHORT_DOCS rows a language
+    texts = chosen_texts(docs, trained)
     out: dict[str, str] = {}
     found = [r for r in sorted(texts.collect(), key=lambda r: (r[0], r[1], r[2] or "")) if r[2]]
     whole = Counter(own for own, _, text in found if len(text) >= SAMPLE_CHARS[0])

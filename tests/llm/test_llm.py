@@ -414,6 +414,25 @@ def test_op7_learns_from_short_long_and_unmeasured_texts(spark):
     assert len(got) == len(docs) and all(x.lang_pred == x.lang for x in got)
 
 
+def test_op7_sample_is_the_first_of_each_language_by_hash(spark):
+    """Repeats of a document count once, also where one document has a third of all rows."""
+    F = language_id.F
+    rows = [(i, "ab " * (5 + i % 200), "xy"[i % 2]) for i in range(9000)] + [(7, "ab " * 90, "y")] * 4500 + [(8, "  ", "x"), (9, None, "x"), (10, "ab", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = sorted((r.own, r["rank"], r.text) for r in language_id.chosen_texts(docs, F.lit(True)).collect())
+    hashes = dict(docs.select("doc_id", F.xxhash64("doc_id")).distinct().collect())
+    want = []
+    for lang in "xy":
+        best = {}
+        for i, text, own in rows:
+            if own == lang and text and text.strip():
+                item = (0 if 200 <= len(text) <= 8000 else 1, len(text), text)
+                best[i] = min(best.get(i, item), item)
+        order = sorted(best, key=lambda i: (best[i][0], hashes[i], i))[: language_id.SHORT_DOCS]
+        want += [(lang, k, best[i][2]) for k, i in enumerate(order, 1) if k <= language_id.SAMPLE_DOCS or best[i][1] < 200]
+    assert got == sorted(want)
+
+
 def test_pipeline_drops_what_no_language_parses(spark):
     import corpus_pipeline
 
