@@ -8,13 +8,22 @@ from pyspark.sql import functions as F
 from .common import materialized
 
 
+def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """links (u, v) with m, the least of u.
+
+    The key goes over in another form: the join then has an exchange of its own on both sides, so Spark can split a
+    node with very many links among tasks, which it cannot where an aggregate by the key feeds the join.
+    """
+    return links.join(least.select(F.bitwise_not("u").alias("w"), "m"), F.col("u") == F.bitwise_not("w")).drop("w")
+
+
 def _stars(links: DataFrame) -> DataFrame:
     """One large-star and one small-star step over links (u, v), u > v."""
     both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+    large = _with_least(both, least).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
     least = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(least, "u")
+    small = _with_least(large, least)
     return small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
