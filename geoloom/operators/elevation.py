@@ -45,13 +45,24 @@ def golden_check(found: DataFrame, fine_tolerance: float = 10.0, coarse_toleranc
     return found.withColumn("diff_m", diff).withColumn("ok", F.coalesce(diff <= limit, F.lit(False)))
 
 
-def first_raster(points: DataFrame, rasters: DataFrame) -> DataFrame:
-    """The first raster (by ordinal) whose bounds hold each point, with the nearest cell.
+def raster_places(rasters: DataFrame, cell: float) -> DataFrame:
+    """Rasters by the places (_la, _lo) of ``cell`` degrees that their bounds touch, without those that can't come first.
 
-    Rasters are met through the whole-degree cells that their bounds touch, an equi-join.
+    Of rasters with equal bounds the first stands for all, and where a raster holds a whole place, none after it counts.
     """
-    by = rasters.withColumn("_la", F.explode(F.sequence(F.floor("min_lat"), F.floor("max_lat")))).withColumn("_lo", F.explode(F.sequence(F.floor("min_lon"), F.floor("max_lon"))))
-    met = points.withColumn("_la", F.floor("lat")).withColumn("_lo", F.floor("lon")).join(by, ["_la", "_lo"]).where(geo.within(F.col("lat"), F.col("lon"), F.col("min_lat"), F.col("max_lat"), F.col("min_lon"), F.col("max_lon")))
+    at = lambda c: F.floor(F.col(c) / cell)
+    one = rasters.groupBy("min_lat", "max_lat", "min_lon", "max_lon").agg(F.min_by(F.struct("*"), "ordinal").alias("_r")).select("_r.*")
+    by = one.withColumn("_la", F.explode(F.sequence(at("min_lat"), at("max_lat")))).withColumn("_lo", F.explode(F.sequence(at("min_lon"), at("max_lon"))))
+    whole = (at("min_lat") < F.col("_la")) & (F.col("_la") < at("max_lat")) & (at("min_lon") < F.col("_lo")) & (F.col("_lo") < at("max_lon"))
+    least = by.groupBy("_la", "_lo").agg(F.min(F.when(whole, F.col("ordinal"))).alias("_least"))
+    return by.join(least, ["_la", "_lo"]).where(F.col("_least").isNull() | (F.col("ordinal") <= F.col("_least"))).drop("_least")
+
+
+def first_raster(points: DataFrame, rasters: DataFrame, cell: float = 0.125) -> DataFrame:
+    """The first raster (by ordinal) whose bounds hold each point, with the nearest cell: an equi-join on places."""
+    at = lambda c: F.floor(F.col(c) / cell)
+    met = points.withColumn("_la", at("lat")).withColumn("_lo", at("lon")).join(raster_places(rasters, cell), ["_la", "_lo"])
+    met = met.where(geo.within(F.col("lat"), F.col("lon"), F.col("min_lat"), F.col("max_lat"), F.col("min_lon"), F.col("max_lon")))
     first = met.withColumn("_rn", F.row_number().over(Window.partitionBy("point_id").orderBy("ordinal"))).where("_rn = 1")
     lat_step, lon_step = (F.col("max_lat") - F.col("min_lat")) / F.col("height"), (F.col("max_lon") - F.col("min_lon")) / F.col("width")
     return first.withColumn("row", geo.raster_row(F.col("lat"), F.col("max_lat"), lat_step, F.col("height"))).withColumn("col", geo.raster_col(F.col("lon"), F.col("min_lon"), lon_step, F.col("width"))).drop("_la", "_lo", "_rn")

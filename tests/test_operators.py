@@ -42,6 +42,16 @@ def test_first_raster_on_a_shared_edge(spark):
     assert (got.ordinal, got.row, got.col) == (0, 0, 1)
 
 
+def test_first_raster_under_many_rasters(spark):
+    k = F.col("id")
+    same = spark.range(60000).select(k.alias("ordinal"), *[F.lit(x).alias(n) for n, x in (("min_lat", 33.0), ("max_lat", 34.0), ("min_lon", 133.0), ("max_lon", 134.0), ("width", 2), ("height", 2))])
+    nested = spark.range(2000).select((k - 2000).alias("ordinal"), (33.5 - (k + 1) / 8000).alias("min_lat"), (33.5 + (k + 1) / 8000).alias("max_lat"), (133.5 - (k + 1) / 8000).alias("min_lon"), (133.5 + (k + 1) / 8000).alias("max_lon"), F.lit(2).alias("width"), F.lit(2).alias("height"))
+    points = spark.range(4000).select(k.alias("point_id"), (33.5 + k / 8000).alias("lat"), F.lit(133.5).alias("lon"))
+    assert elevation.raster_places(same, 0.125).count() == 81  # not 60000 for each place
+    found = elevation.first_raster(points, same.unionByName(nested))
+    assert found.agg(F.count("*"), F.count_if(F.col("ordinal") == F.when(F.col("point_id") <= 2000, F.greatest(F.col("point_id") - 2001, F.lit(-2000))).otherwise(0))).first() == (4000, 4000)
+
+
 def test_profile_of_a_line(spark):
     line = spark.createDataFrame([("a", 0, 34.0, 134.0), ("a", 1, 34.0, 134.001)], "line string, ord int, lat double, lon double")
     rows = profile.resampled(profile.with_distance(line, "line"), 20.0, "line").orderBy("distance_m").collect()
