@@ -112,6 +112,6 @@ def archive_listing(rasters: DataFrame) -> DataFrame:
     return rasters.rollup("mesh").agg(F.count("*").alias("rasters"), F.sum("stored").alias("stored"), F.sum(F.col("width") * F.col("height")).alias("cells"), F.count_if(~full).alias("partial")).orderBy(F.col("mesh").asc_nulls_last())
 
 
-def by_number(rows: DataFrame, column: str) -> DataFrame:
-    """Rows in the order of a column's numbers, with their place; texts that are no number come last."""
-    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.col(column).try_cast("long").asc_nulls_last(), column)))
+def by_number(rows: DataFrame, column: str, *ties: str) -> DataFrame:
+    """Rows in the order of a column's numbers, with their place; texts that are no number come last, equal texts by ``ties``."""
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.col(column).try_cast("long").asc_nulls_last(), column, *ties)))

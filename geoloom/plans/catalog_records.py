@@ -227,7 +227,7 @@ def archive_listing(spark, d):
 @query("""WITH x AS (SELECT s_suppkey, CASE WHEN s_suppkey % 10 = 0 THEN 'x' || CAST(s_suppkey AS VARCHAR) ELSE CAST(s_suppkey * 37 % 1009 AS VARCHAR) END AS id FROM supplier) SELECT s_suppkey, id, CAST(row_number() OVER (ORDER BY TRY_CAST(id AS BIGINT) NULLS LAST, id) AS INT) AS place FROM x""")
 def numeric_order(spark, d):
     k = F.col("s_suppkey")
-    return reports.by_number(read(spark, d, "supplier").select("s_suppkey", F.when(k % 10 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise((k * 37 % 1009).cast("string")).alias("id")), "id")
+    return reports.by_number(read(spark, d, "supplier").select("s_suppkey", F.when(k % 10 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise((k * 37 % 1009).cast("string")).alias("id")), "id", "s_suppkey")
 
 
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, 'source url does not match the id' AS rule FROM orders WHERE o_orderkey % 10 = 0 UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'temple number is not of 1 to 88' FROM orders WHERE o_custkey % 100 NOT BETWEEN 1 AND 88 AND o_orderkey % 3 <> 0

@@ -108,6 +108,11 @@ def test_warning_examples(spark):
     assert got == {"c": (30, [0, 1, 2, 3, 4]), "d": (1, [1])}
 
 
+def test_equal_numbers_keep_an_order(spark):
+    rows = spark.createDataFrame([(9 - i, "x" if i % 2 else "7") for i in range(10)], "k int, id string")
+    assert [r.k for r in reports.by_number(rows, "id", "k").orderBy("place").collect()] == [1, 3, 5, 7, 9, 0, 2, 4, 6, 8]
+
+
 GML = """<?xml version="1.0" encoding="{enc}"?><Dataset xmlns:gml="http://g"><DEM><fid>f</fid><lfSpanFr><gml:timePosition>2025-12-08</gml:timePosition></lfSpanFr><mesh>51346200</mesh>
 <coverage><gml:boundedBy><gml:Envelope srsName="fguuid:jgd2024.bl"><gml:lowerCorner>34.5 134.25</gml:lowerCorner><gml:upperCorner>34.6 134.4</gml:upperCorner></gml:Envelope></gml:boundedBy>
 <gml:low>0 0</gml:low><gml:high>2 1</gml:high><gml:tupleList>
