@@ -76,6 +76,29 @@ def test_duplicates_report_the_first_signal(spark):
     assert got == {(1, 2): "same name", (1, 4): "same phone", (2, 4): "same phone", (2, 3): "same website"}
 
 
+def test_duplicates_are_not_grouped_and_meet_in_tiles(spark):
+    schema = "ord int, name string, phone string, website string, lat double, lon double"
+    rows = [(i, "abc"[i % 3], "pq"[i % 2] if i % 5 else None, "w" if i % 7 == 0 else "", 34.0 + (i % 4) / 2000, 134.0 if i % 11 else None) for i in [*range(60), 3, 3, 14, 40]]
+
+    def signal(x, y):
+        near = None not in (x[5], y[5]) and abs(x[4] - y[4]) * 111195 < 100
+        return 1 if x[1] == y[1] and near else 2 if x[2] and x[2] == y[2] else 3 if x[3] and x[3] == y[3] else 9
+
+    want = {}
+    for x in rows:
+        for y in rows:
+            if x[0] < y[0] and signal(x, y) < 9:
+                want[x[0], y[0]] = min(want.get((x[0], y[0]), 9), signal(x, y))
+    found = [((r.a, r.b), r.signal) for r in linking.duplicate_pairs(spark.createDataFrame(rows, schema), block=4).collect()]
+    assert len(found) == len(want)
+    assert dict(found) == {k: ("", "same name", "same phone", "same website")[v] for k, v in want.items()}
+    k = F.col("id")
+    one = spark.range(4000).select(k.alias("x"), F.lit("k").alias("key"))
+    pairs = linking.tiled_join(one, one.withColumnRenamed("x", "y"), ["key"], "x", "y", 256)
+    sizes = [r["n"] for r in pairs.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 4000 * 4000 and max(sizes) < 8_000_000  # one task had them all
+
+
 def test_geocoding_precedence(spark):
     sha = lambda u: F.sha2(F.lit(u), 256)
     cache = spark.range(1).select(F.explode(F.array(*[F.struct(sha(u).alias("url_sha256"), F.lit(f).alias("failed"), F.lit(n).alias("place_count"), F.lit(lat).alias("lat"), F.lit(lon).alias("lon")) for u, f, n, lat, lon in (("ok", False, 1, 33.5, 133.5), ("two", False, 2, 33.5, 133.5), ("far", False, 1, 40.0, 140.0), ("none", False, 0, 0.0, 0.0))])).alias("c")).select("c.*")
