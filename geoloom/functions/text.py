@@ -295,40 +295,49 @@ def prices(x: Column) -> Column:
     item_ = lambda **k: F.struct(*[k[f.split(":")[0]].alias(f.split(":")[0]) for f in PRICE_TYPE[7:-1].split(",")])
     none_s, none_i, no = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(False)
 
-    def of_item(source: Column) -> Column:
-        value = stripped(F.replace(normalize_digits(source), F.lit("，"), F.lit(",")))
-        head = "(?Us)^([^:：]+)\\s*[:：]\\s*(.*)$"
-        label = F.when(value.rlike(head), F.trim(F.regexp_extract(value, head, 1)))
-        body = F.when(value.rlike(head), stripped(F.regexp_extract(value, head, 2))).otherwise(value)
-        status, plan = first_state(body, PRICE_STATES, None), first_contained(value, MEAL_PLANS)
-        words = "|".join(p for p, _ in PRICE_STATES)
+    head = "(?Us)^([^:：]+)\\s*[:：]\\s*(.*)$"
+    words = "|".join(p for p, _ in PRICE_STATES)
+    empty = F.array().cast(f"array<{PRICE_TYPE}>")
+
+    def read(source: Column, value: Column) -> Column:
+        label = F.regexp_extract(value, head, 1)
+        labelled = let(label, lambda n: F.struct(F.when(n != "", F.trim(n)).alias("label"), F.when(n != "", stripped(F.regexp_extract(value, head, 2))).otherwise(value).alias("body")))
+        # the text before each amount, the amounts, and what follows each
+        found, between = F.regexp_extract_all(value, F.lit(f"({AMOUNT})"), 1), F.split(value, AMOUNT)
+        return let(F.struct(source.alias("source"), value.alias("value"), labelled.alias("l"), first_contained(value, MEAL_PLANS).alias("plan"), value.rlike(RANGE).alias("ranged"), found.alias("found"), between.alias("gaps")), items)
+
+    def items(t: Column) -> Column:
+        return let(first_state(t.l.body, PRICE_STATES, None), lambda status: items_of(t, status))
+
+    def items_of(t: Column, status: Column) -> Column:
+        source, value, label, body, plan, ranged, found, between = t.source, t.value, t.l.label, t.l.body, t.plan, t.ranged, t.found, t.gaps
         after = empty_to_null(F.regexp_replace(F.regexp_replace(body, f"^(?:{words})", ""), "^[ （()）]+|[ （()）]+$", ""))
         zero = F.when(status == "free", 0)
         stated = item_(label=label, status=status, amount_yen=zero, min_amount_yen=zero, max_amount_yen=zero, surcharge=no, room_type=none_s, meal_plan=plan, notes=after, raw_text=source)
         told = item_(label=label, status=F.lit("descriptive"), amount_yen=none_i, min_amount_yen=none_i, max_amount_yen=none_i, surcharge=no, room_type=none_s, meal_plan=plan, notes=body, raw_text=source)
         vague = item_(label=label, status=F.lit("ambiguous"), amount_yen=none_i, min_amount_yen=none_i, max_amount_yen=none_i, surcharge=no, room_type=none_s, meal_plan=none_s, notes=none_s, raw_text=source)
-        ranged = value.rlike(RANGE)
-        # the text before each amount, the amounts, and what follows each
-        found = F.regexp_extract_all(value, F.lit(f"({AMOUNT})"), 1)
-        between = F.split(value, AMOUNT)
 
         def priced(i: Column) -> Column:
-            before = F.regexp_replace(F.get(between, i), "^[、, /・]+", "")
-            amount = F.get(found, i)
             rest = F.array_join(F.concat(F.array(F.get(between, i + 1)), F.flatten(F.transform(F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda j: j > i), lambda j: F.array(F.get(found, j), F.get(between, j + 1))))), "")
-            low = F.when(ranged, _yen(F.regexp_extract(value, RANGE, 1))).otherwise(_yen(F.regexp_extract(amount, "(\\d[\\d,]*)", 1)))
-            high = F.when(ranged, _yen(F.regexp_extract(value, RANGE, 2))).when(rest.rlike("[〜～~]"), none_i).otherwise(low)
-            tail = F.when(ranged, F.regexp_extract(value, f"(?s){RANGE}(.*)$", 3)).otherwise(rest)
+            part = F.struct(F.regexp_replace(F.get(between, i), "^[、, /・]+", "").alias("before"), F.get(found, i).alias("amount"), rest.alias("rest"))
+            low = lambda p: F.when(ranged, _yen(F.regexp_extract(value, RANGE, 1))).otherwise(_yen(F.regexp_extract(p.amount, "(\\d[\\d,]*)", 1)))
+            return let(part, lambda p: let(low(p), lambda yen: one(p, yen)))
+
+        def one(p: Column, low: Column) -> Column:
+            high = F.when(ranged, _yen(F.regexp_extract(value, RANGE, 2))).when(p.rest.rlike("[〜～~]"), none_i).otherwise(low)
+            tail = F.when(ranged, F.regexp_extract(value, f"(?s){RANGE}(.*)$", 3)).otherwise(p.rest)
             return item_(
-                label=empty_to_null(F.regexp_replace(before, "(?U)[:：、,\\s]+$", "")), status=F.lit("priced"), amount_yen=low, min_amount_yen=low, max_amount_yen=high,
-                surcharge=amount.startswith("+"), room_type=first_contained(before, ROOM_KINDS), meal_plan=plan,
-                notes=empty_to_null(F.regexp_replace(tail, "^[ 、,()（）]+|[ 、,()（）]+$", "")), raw_text=source,
+                label=let(F.regexp_replace(p.before, "(?U)[:：、,\\s]+$", ""), empty_to_null), status=F.lit("priced"), amount_yen=low, min_amount_yen=low, max_amount_yen=high,
+                surcharge=p.amount.startswith("+"), room_type=first_contained(p.before, ROOM_KINDS), meal_plan=plan,
+                notes=let(F.regexp_replace(tail, "^[ 、,()（）]+|[ 、,()（）]+$", ""), empty_to_null), raw_text=source,
             )
 
         many = F.transform(F.filter(F.sequence(F.lit(0), F.greatest(F.size(found) - 1, F.lit(0))), lambda i: ~ranged | (i == 0)), priced)
-        empty = F.array().cast(f"array<{PRICE_TYPE}>")
         return F.when(status.isNotNull(), F.array(stated)).when(F.size(found) > 0, many).when((value != "") & label.isNull(), empty).when(body != "", F.array(told)).otherwise(F.array(vague))
 
+    def of_item(source: Column) -> Column:
+        return let(stripped(F.replace(normalize_digits(source), F.lit("，"), F.lit(","))), lambda value: read(source, value))
+
     return F.when(F.coalesce(x, F.lit("")) == "", F.array().cast(f"array<{PRICE_TYPE}>")).otherwise(F.flatten(F.transform(F.split(x, "\\|"), of_item)))
 
 

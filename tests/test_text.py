@@ -116,3 +116,11 @@ def test_name_keys(of):
 def test_nulls_stay_null(of):
     for f in (text.normalize_digits, text.clean_punct, text.collapsed, text.star_count, text.distance_km, text.modified_date):
         assert of(f, None) is None
+
+
+@pytest.mark.parametrize("made, most", [(text.prices, 90)])
+def test_a_text_is_read_once(spark, made, most):
+    """Each regular expression stands once in the expression, not once for every value that is derived from it."""
+    plan = spark.range(1).select(made(F.col("id").cast("string")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    n = plan.count("rlike") + plan.count("RLIKE") + plan.count("regexp_")
+    assert n <= most, n
