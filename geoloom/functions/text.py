@@ -57,11 +57,14 @@ def whole_number(x: Column) -> Column:
 
 
 def normalize_half_kana(x: Column) -> Column:
-    out = F.translate(x, HALF_KANA, FULL_KANA)
-    for plain, voiced, marks in VOICED:
-        for a, b in zip(plain, voiced):
-            out = F.regexp_replace(out, f"{a}[{marks}]", b)
-    return out
+    def voiced_(out: Column) -> Column:
+        for plain, voiced, marks in VOICED:
+            for a, b in zip(plain, voiced):
+                out = F.regexp_replace(out, f"{a}[{marks}]", b)
+        return out
+
+    marked = "[" + "".join(marks for _, _, marks in VOICED) + "]"
+    return let(F.translate(x, HALF_KANA, FULL_KANA), lambda t: F.when(t.rlike(marked), voiced_(t)).otherwise(t))
 
 
 def clean_punct(x: Column) -> Column:
@@ -147,18 +150,17 @@ def _times(text: Column, anchor: str, compact: bool) -> Column:
     digits = f"(?s)^([01]\\d|2[0-3])([0-5]\\d)(?![0-9]){rest}"
 
     def made(pattern: str, last: int, end: Column, shown) -> Column:
-        start = _clock(text, pattern, 1, 2)
-        return F.struct(start.alias("start"), end.alias("end"), shown(start).alias("time"), collapsed(F.regexp_extract(text, pattern, last)).alias("notes"))
+        both = lambda t: F.struct(t.start.alias("start"), t.end.alias("end"), shown(t).alias("time"), collapsed(F.regexp_extract(text, pattern, last)).alias("notes"))
+        return let(F.struct(_clock(text, pattern, 1, 2).alias("start"), end.alias("end")), both)
 
     none = F.lit(None).cast("string")
-    until = _clock(text, span, 3, 4)
     # where a single time stands before a range, the range still wins; opened and single share their start
-    out = F.when(text.rlike(span), made(span, 5, until, lambda s: F.concat(s, F.lit("-"), until)))
+    out = F.when(text.rlike(span), made(span, 5, _clock(text, span, 3, 4), lambda t: F.concat(t.start, F.lit("-"), t.end)))
     tail = F.regexp_extract(text, single, 3)
-    out = out.when(text.rlike(single) & tail.rlike(f"^\\s*{SEPARATOR}"), made(opened, 3, none, lambda s: F.concat(s, F.lit("-"))))
-    out = out.when(text.rlike(single), made(single, 3, none, lambda s: s))
+    one = F.when(tail.rlike(f"^\\s*{SEPARATOR}"), made(opened, 3, none, lambda t: F.concat(t.start, F.lit("-")))).otherwise(made(single, 3, none, lambda t: t.start))
+    out = out.when(text.rlike(single), one)
     if compact:
-        out = out.when(text.rlike(digits), made(digits, 3, none, lambda s: s))
+        out = out.when(text.rlike(digits), made(digits, 3, none, lambda t: t.start))
     return out.otherwise(F.struct(none.alias("start"), none.alias("end"), none.alias("time"), text.alias("notes")))
 
 
@@ -232,36 +234,38 @@ def rooms_with_total(x: Column, price: Column) -> Column:
 
 def meals(x: Column) -> Column:
     """struct<breakfast, dinner>; the time is sought from the word to the end of the text."""
-    text = normalize_digits(F.coalesce(x, F.lit("")))
 
-    def one(word: str) -> Column:
+    def one(text: Column, word: str) -> Column:
         has = text.contains(word) & ~text.contains("なし")
-        got = time_anywhere(F.substring(text, F.instr(text, word), F.length(text)))
-        return F.struct(has.alias("available"), F.when(has, got.time).alias("time"), F.when(has, got.start).alias("start"), F.when(has, got.end).alias("end"))
+        got = F.when(has, time_anywhere(F.substring(text, F.instr(text, word), F.length(text))))
+        return let(F.struct(has.alias("has"), got.alias("got")), lambda g: F.struct(g.has.alias("available"), g.got.time.alias("time"), g.got.start.alias("start"), g.got.end.alias("end")))
 
-    return F.struct(one("朝食").alias("breakfast"), one("夕食").alias("dinner"))
+    return let(normalize_digits(F.coalesce(x, F.lit(""))), lambda t: F.struct(one(t, "朝食").alias("breakfast"), one(t, "夕食").alias("dinner")))
 
 
 def payment(x: Column) -> Column:
     """struct<methods, cards>."""
-    text = normalize_half_kana(x)
-    flat = F.regexp_replace(F.replace(F.upper(text), F.lit("VIZA"), F.lit("VISA")), "(?U)\\s+", "")
-    alone = lambda word: flat.rlike(f"(?<![A-Z]){word}(?![A-Z])")
-    cards = (
-        ("VISA", flat.contains("VISA")),
-        ("Mastercard", flat.contains("MASTER")),
-        ("JCB", flat.contains("JCB")),
-        ("AE", flat.contains("AMEX") | flat.contains("AMERICANEXPRESS") | text.contains("アメリカンエクスプレス") | alone("AE")),
-        ("UC", alone("UC")),
-        ("DC", alone("DC")),
-        ("Diners", flat.contains("DINERS")),
-        ("Discover", flat.contains("DISCOVER")),
-        ("UnionPay", flat.contains("UNIONPAY") | text.contains("銀聯")),
-        ("PayPay", flat.contains("PAYPAY")),
-        ("d払い", text.contains("D払い") | x.contains("d払い")),
-    )
-    listed = lambda pairs: F.array_compact(F.array(*[F.when(c, n) for n, c in pairs]))
-    return F.struct(listed((("cash", text.contains("現金")), ("card", text.contains("カード")))).alias("methods"), listed(cards).alias("cards"))
+    flat_ = lambda text: F.regexp_replace(F.replace(F.upper(text), F.lit("VIZA"), F.lit("VISA")), "(?U)\\s+", "")
+
+    def of(raw: Column, text: Column, flat: Column) -> Column:
+        alone = lambda word: flat.rlike(f"(?<![A-Z]){word}(?![A-Z])")
+        cards = (
+            ("VISA", flat.contains("VISA")),
+            ("Mastercard", flat.contains("MASTER")),
+            ("JCB", flat.contains("JCB")),
+            ("AE", flat.contains("AMEX") | flat.contains("AMERICANEXPRESS") | text.contains("アメリカンエクスプレス") | alone("AE")),
+            ("UC", alone("UC")),
+            ("DC", alone("DC")),
+            ("Diners", flat.contains("DINERS")),
+            ("Discover", flat.contains("DISCOVER")),
+            ("UnionPay", flat.contains("UNIONPAY") | text.contains("銀聯")),
+            ("PayPay", flat.contains("PAYPAY")),
+            ("d払い", text.contains("D払い") | raw.contains("d払い")),
+        )
+        listed = lambda pairs: F.array_compact(F.array(*[F.when(c, n) for n, c in pairs]))
+        return F.struct(listed((("cash", text.contains("現金")), ("card", text.contains("カード")))).alias("methods"), listed(cards).alias("cards"))
+
+    return let(F.struct(x.alias("raw"), normalize_half_kana(x).alias("text")), lambda t: let(flat_(t.text), lambda flat: of(t.raw, t.text, flat)))
 
 
 def parking(x: Column) -> Column:

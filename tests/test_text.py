@@ -118,7 +118,7 @@ def test_nulls_stay_null(of):
         assert of(f, None) is None
 
 
-@pytest.mark.parametrize("made, most", [(text.prices, 90)])
+@pytest.mark.parametrize("made, most", [(text.meals, 40), (text.payment, 40), (text.prices, 90)])
 def test_a_text_is_read_once(spark, made, most):
     """Each regular expression stands once in the expression, not once for every value that is derived from it."""
     plan = spark.range(1).select(made(F.col("id").cast("string")).alias("x"))._jdf.queryExecution().analyzed().toString()
