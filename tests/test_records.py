@@ -69,6 +69,16 @@ def test_trail_links_and_counters(spark):
     assert (total.photo_points, total.matched_photo_points) == (1, 1)
 
 
+def test_counters_read_a_course_once(spark):
+    two = courses(spark).unionAll(courses(spark, prefecture="kochi", placemarks=[("r", [("LineString", [[133.0, 33.0], [133.1, 33.1]])])])).unionAll(courses(spark, source_post_id=7, prefecture=None))
+    counted = trail.counters(two)
+    got = {r.prefecture: (r.courses, r.route_segments, r.linked_tourism_spots, r.ambiguous_names, r.photo_points, r.matched_photo_points) for r in counted.where("prefecture IS NOT NULL").collect()}
+    assert got == {"ehime": (1, 2, 1, 1, 1, 1), "kochi": (1, 1, 0, 0, 1, 1)}
+    total = counted.where("prefecture IS NULL").agg(*[F.max(c).alias(c) for c in counted.columns if c != "prefecture"]).first()
+    assert (total.courses, total.linked_tourism_spots, total.ambiguous_names, total.matched_photo_points) == (3, 1, 2, 3)
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1  # it was 20
+
+
 def test_fatal_courses(spark):
     import pytest
 
