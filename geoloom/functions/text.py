@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import unicodedata
 from functools import reduce
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -456,10 +458,21 @@ def name_key(x: pd.Series) -> pd.Series:
     return x.map(one)
 
 
-@F.arrow_udf(T.StringType())
-def trail_key(x: pa.Array) -> pa.Array:
-    """NFKC without a fixed list of marks and white space, case folded; null as an empty key.  A batch's equal texts are worked out once."""
+def _trail_keys(x: pa.Array) -> pa.Array:
     drop = str.maketrans("", "", TRAIL_MARKS)
     own = x.dictionary_encode(null_encoding="encode")
     keys = ["" if t is None else "".join(unicodedata.normalize("NFKC", t).translate(drop).split()).casefold() for t in own.dictionary.to_pylist()]
     return pa.array(keys, pa.string()).take(own.indices)
+
+
+@F.arrow_udf(T.StringType())
+def trail_key(x: pa.Array) -> pa.Array:
+    """NFKC without a fixed list of marks and white space, case folded; null as an empty key.  A batch's equal texts are worked out once."""
+    return _trail_keys(x)
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def trail_keys(x: pa.Array) -> pa.Array:
+    """``trail_key`` of each text of an array; a null array as an empty one."""
+    ends = list(accumulate((n or 0 for n in pc.list_value_length(x).to_pylist()), initial=0))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _trail_keys(x.flatten()))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import trail_key
+from ..functions.text import trail_key, trail_keys
 from .linking import one_to_one
 
 PREFECTURES = ("tokushima", "kochi", "ehime", "kagawa")
@@ -59,8 +59,38 @@ def links(courses: DataFrame) -> DataFrame:
 
 
 def poi_features(courses: DataFrame) -> DataFrame:
-    own = links(courses).where("linked").select(F.col("right_id").alias("id"), F.col("left_id").alias("content_id"))
-    return pois(courses).join(own, "id", "left").select("id", "route_id", "name", F.when(F.col("content_id").isNotNull(), "tourism_spot").otherwise("kml_poi").alias("kind"), "content_id", "position")
+    """Points of interest, with the spot that each links to one to one.
+
+    A course is read once and its names are met within its own row: sorted by key, a link is a spot and a point that
+    stand alone side by side.  Courses of a repeated id are one route, as in ``parts``; a course whose rows already
+    lie in order of source_post_id is neither sorted nor dealt again.
+    """
+    route = Window.partitionBy("source_post_id")
+    own = F.struct("prefecture", *[F.coalesce(c, F.array()).alias(c) for c in ("spots", "placemarks")])
+    tagged = courses.select("source_post_id", own.alias("c"), F.monotonically_increasing_id().alias("_r"))
+    routes = tagged.select("source_post_id", F.collect_list("c").over(route).alias("cs"), "_r", F.min("_r").over(route).alias("_first")).where("_r = _first")
+
+    def points(c, k):
+        of = lambda p, i: F.transform(F.coalesce(p.geometry, F.array()), lambda g, j: F.struct(i.alias("i"), j.alias("j"), k.alias("k"), c.prefecture.alias("prefecture"), p["name"].alias("name"), F.get(g.coordinates, F.lit(0)).alias("position"), (g.kind == "Point").alias("_is")))
+        return F.filter(F.flatten(F.transform(c.placemarks, of)), lambda x: x._is)
+
+    spots_ = F.flatten(F.transform("cs", lambda c: F.transform(c.spots, lambda s, i: F.struct(c.prefecture.alias("prefecture"), s.title.alias("name"), (i + 1).alias("n")))))
+    shown = F.flatten(F.transform("cs", points))
+    rows = routes.select(F.format_string("SNT_%s", F.col("source_post_id").cast("string")).alias("route_id"), F.when(F.size("cs") > 1, F.sort_array(shown)).otherwise(shown).alias("_p"), spots_.alias("_s"))
+    keyed = rows.select("route_id", "_p", "_s", trail_keys(F.transform("_p", lambda x: x["name"])).alias("_pk"), trail_keys(F.transform("_s", lambda x: x["name"])).alias("_sk"))
+    item = lambda x, key, point, spot, position: F.struct(x.prefecture.alias("prefecture"), key.alias("key"), point.alias("point"), spot.alias("spot"), x["name"].alias("name"), position.alias("position"))
+    items = F.concat(
+        F.transform("_p", lambda x, i: item(x, F.get("_pk", i), i + 1, F.lit(None).cast("int"), x.position)),
+        F.transform("_s", lambda x, i: item(x, F.get("_sk", i), F.lit(0), x.n, F.when(F.lit(False), F.get("_p", F.lit(0)).position))),
+    )
+    # spots (point 0) stand before the points of their name; names of a missing prefecture and empty keys meet nothing
+    at = lambda i: F.get("_i", i)
+    same = lambda a, b: F.coalesce((at(a).prefecture == at(b).prefecture) & (at(a).key == at(b).key), F.lit(False))
+    linked = lambda x, i: (x.key != "") & (at(i - 1).point == 0) & same(i - 1, i) & ~same(i - 2, i) & ~same(i + 1, i)
+    each = F.transform("_i", lambda x, i: F.struct(x.point.alias("point"), x["name"].alias("name"), x.position.alias("position"), F.when(linked(x, i), at(i - 1).spot).alias("spot")))
+    found = keyed.select("route_id", F.sort_array(items).alias("_i")).select("route_id", F.inline(F.filter(each, lambda x: x.point > 0)))
+    content = F.when(F.col("spot").isNotNull(), F.format_string("%s_S%03d", "route_id", "spot"))
+    return found.select(F.format_string("%s_P%04d", "route_id", "point").alias("id"), "route_id", "name", F.when(F.col("spot").isNotNull(), "tourism_spot").otherwise("kml_poi").alias("kind"), content.alias("content_id"), "position")
 
 
 def counters(courses: DataFrame) -> DataFrame:

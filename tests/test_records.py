@@ -79,6 +79,28 @@ def test_counters_read_a_course_once(spark):
     assert counted._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1  # it was 20
 
 
+def test_poi_features_read_a_course_once(spark):
+    point, line = ("Point", [[133.0, 33.0]]), ("LineString", [[133.0, 33.0], [133.1, 33.1]])
+    odd = (
+        courses(spark)
+        .unionAll(courses(spark, source_post_id=7, prefecture=None))
+        .unionAll(courses(spark, source_post_id=8, spots=[("1", "a"), ("2", "Ａ"), ("3", ""), ("4", "d"), ("5", None)], placemarks=[("a", [point]), (None, [point]), ("（）", [line, point, (None, None)]), ("d", None), ("Ｄ", [("Point", None)])]))
+        .unionAll(courses(spark, source_post_id=9, placemarks=[("x", [line, point]), ("b", [line, point])]))
+        .unionAll(courses(spark, source_post_id=9, prefecture="kochi", spots=None, placemarks=[("b", [point]), None, ("c", [point, line])]))
+        .unionAll(courses(spark, source_post_id=9, spots=[("1", "c"), ("2", "x")], placemarks=[]))
+        .unionAll(courses(spark, source_post_id=10, placemarks=None))
+    )
+    found = trail.poi_features(odd)
+    own = trail.links(odd).where("linked").select(F.col("right_id").alias("id"), F.col("left_id").alias("content_id"))
+    want = trail.pois(odd).join(own, "id", "left").select("id", "route_id", "name", F.when(F.col("content_id").isNotNull(), "tourism_spot").otherwise("kml_poi").alias("kind"), "content_id", "position")
+    assert found.dtypes == want.dtypes
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(found) == rows(want)
+    assert {r.id for r in found.where("kind = 'tourism_spot'").collect()} == {"SNT_42_P0001", "SNT_8_P0004", "SNT_9_P0002", "SNT_9_P0003"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("ArrowEvalPython") == 1  # it was two joins and four
+
+
 def test_fatal_courses(spark):
     import pytest
 
