@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 SPACES = "[\\x20\\x09-\\x0D]+"
+#: Runs of characters that no rule counts.
+UNCOUNTED = "[^#*$%&|<>!\\p{Lu}]+"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_chars_all", "n_lines", "n_bars", "n_bangs")
 #: Rules by the number of their bit: name and the condition under which a document fails.
 RULES: dict[int, tuple[str, Callable[[], Column]]] = {
@@ -51,45 +53,58 @@ def _count(text: Column, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
+def _window_keys(words: str) -> Column:
+    """A long for each 3-word window of an array, in order: 33 bits of a hash, then the window's place."""
+    place = F.lit((1 << 31) - 1).cast("long")
+    key = lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(F.bitwise_not(place)).bitwiseOR(i.cast("long"))
+    return F.sort_array(F.transform(F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))), key))
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) with the columns of MEASURES in place of text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    words = F.filter(F.split(text, SPACES), lambda x: x != "")
-    windows = F.transform("_w", lambda x, i: F.struct(F.concat_ws(" ", x, F.get("_w", i + 1), F.get("_w", i + 2)).alias("t"), i.alias("i")))
-    triples = F.slice(windows, 1, F.greatest(F.size("_w") - 2, F.lit(0)))
-    # neighbours in sorted order that are equal are windows found twice or more
-    last = F.size("_s")
+    words = F.array_remove(F.split(text, SPACES), "")
+    # only windows whose hash another one has can stand twice.  Neighbours of a hash are compared word by word; where two
+    # differ (a hash of two windows), the text's windows of repeated hashes are sorted and those equal to a neighbour count
+    after = lambda a: F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
+    place = lambda x: x.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int")
+    pair = lambda a, b: F.when(F.shiftright(a.bitwiseXOR(b), 31) == 0, F.struct(place(a).alias("a"), place(b).alias("b")))
+    met = F.filter(F.zip_with("_k", after("_k"), pair), lambda x: x.isNotNull())
+    word = lambda i, n: F.get("_w", i + n)
+    mixed = F.exists("_c", lambda x: (word(x.a, 0) != word(x.b, 0)) | (word(x.a, 1) != word(x.b, 1)) | (word(x.a, 2) != word(x.b, 2)))
+    places = F.array_distinct(F.concat(F.transform("_c", lambda x: x.a), F.transform("_c", lambda x: x.b)))
+    windows = F.sort_array(F.transform(places, lambda i: F.struct(F.concat_ws(" ", word(i, 0), word(i, 1), word(i, 2)).alias("t"), i.alias("i"))))
     same = lambda a, b: F.get("_s", a).t == F.get("_s", b).t
-    repeated = F.transform(
-        F.filter(F.transform("_s", lambda x, j: F.struct(x.i.alias("i"), j.alias("j"))), lambda y: F.coalesce(same(y.j, y.j - 1), F.lit(False)) | F.coalesce(same(y.j, y.j + 1), F.lit(False))),
-        lambda y: y.i,
-    )
-    gaps = F.zip_with(F.slice("_p", 2, F.greatest(F.size("_p") - 1, F.lit(0))), F.slice("_p", 1, F.greatest(F.size("_p") - 1, F.lit(0))), lambda b, a: F.least(b - a, F.lit(3)))
+    repeated = F.transform(F.filter(F.transform("_s", lambda x, j: F.struct(x.i.alias("i"), j.alias("j"))), lambda y: same(y.j, y.j - 1) | same(y.j, y.j + 1)), lambda y: y.i)
+    gaps = F.zip_with(after("_p"), F.slice("_p", 1, F.greatest(F.size("_p") - 1, F.lit(0))), lambda b, a: F.least(b - a, F.lit(3)))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    keep = [c for c in docs.columns if c not in (*MEASURES, "text", "_t", "_w", "_l", "_s", "_p", "_r", "_q")]
+    keep = [c for c in docs.columns if c not in (*MEASURES, "text", "_t", "_w", "_l", "_k", "_c", "_z", "_s", "_p", "_r", "_q")]
     one = docs.select(*[F.col(f"`{c}`") for c in keep], text.alias("_t"), words.alias("_w"), lines.alias("_l"))
     two = one.select(
-        *[F.col(f"`{c}`") for c in keep], "_t",
+        *[F.col(f"`{c}`") for c in keep], "_w",
         F.size("_w").cast("long").alias("n_words"),
         F.monotonically_increasing_id().alias("_r"),
-        F.length(F.regexp_replace("_t", SPACES, "")).cast("long").alias("word_chars"),
+        F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
+        F.length("_t").cast("long").alias("n_chars_all"),
+        F.regexp_replace("_t", UNCOUNTED, "").alias("_z"),
         F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size("_w") >= 4, F.sort_array(triples)).otherwise(F.array().cast("array<struct<t:string,i:int>>")).alias("_s"),
+        F.when(F.size("_w") >= 4, _window_keys("_w")).otherwise(F.array().cast("array<bigint>")).alias("_k"),
     )
-    three = two.withColumn("_p", F.when(last > 1, F.sort_array(repeated)).otherwise(F.array().cast("array<int>"))).withColumn("_q", F.monotonically_increasing_id())
+    found = two.withColumn("_c", met).drop("_k").withColumn("_s", F.when(mixed, windows))
+    three = found.withColumn("_p", F.sort_array(F.when(F.col("_s").isNotNull(), repeated).otherwise(places))).withColumn("_q", F.monotonically_increasing_id())
     # row numbers that the result refers to keep later filters above the measurements: moved below, they would
     # evaluate whole texts again inside the lambdas
     return three.select(
         *[F.col(f"`{c}`") for c in keep], F.when((F.col("_r") >= 0) & (F.col("_q") >= 0), F.col("n_words")).alias("n_words"), "word_chars",
-        _count(F.col("_t"), "[#*$%&|<>]").alias("n_symbols"),
+        _count(F.col("_z"), "[#*$%&|<>]").alias("n_symbols"),
         "n_dup_lines",
         F.when(F.size("_p") > 0, F.aggregate(gaps, F.lit(3), lambda a, x: a + x)).otherwise(0).cast("long").alias("n_repeat_words"),
-        _count(F.col("_t"), "\\p{Lu}").alias("n_upper"),
-        F.length("_t").cast("long").alias("n_chars_all"),
+        _count(F.col("_z"), "\\p{Lu}").alias("n_upper"),
+        "n_chars_all",
         "n_lines",
-        _count(F.col("_t"), "[|]").alias("n_bars"),
-        _count(F.col("_t"), "!").alias("n_bangs"),
+        _count(F.col("_z"), "[|]").alias("n_bars"),
+        _count(F.col("_z"), "!").alias("n_bangs"),
     )
 
 

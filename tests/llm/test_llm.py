@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -564,6 +565,28 @@ def test_op2_ledger_in_the_query(spark, sf):
     assert by == {name: sum(bool(r.failed >> b & 1) for r in rows) for b, (name, _) in quality_rules.RULES.items() if b in quality_rules.POLICIES[quality_rules.POLICY]}
 
 
+def _repeated_words(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    t = [tuple(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 4 else []
+    return len({i + k for i, x in enumerate(t) if t.count(x) > 1 for k in range(3)})
+
+
+@pytest.mark.parametrize("bits", [64, 1, 0])
+def test_op2_repeated_words_whatever_the_hash(spark, monkeypatch, bits):
+    """Windows are told apart by their words where hashes meet, and no text of all windows is sorted."""
+    f = quality_rules.F
+    own = f.xxhash64
+    if bits < 64:
+        monkeypatch.setattr(f, "xxhash64", lambda *c: f.shiftleft(own(*c), 64 - bits) if bits else f.lit(0).cast("long"))
+    r = np.random.default_rng(5)
+    texts = [None, "", " ", "a", "a b c", "a a a a", "a b c a b c", "\x0b a b\ta b a\nb a ", "ab c d a bc d ab c d", "é é é É"] + [" ".join(r.choice(list("abcdé"), n)) for n in (4, 9, 30, 80, 200)]
+    rows = quality_rules.measured(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {x.doc_id: (x.n_words, x.word_chars, x.n_repeat_words) for x in rows.collect()}
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    assert got == {i: (len(w), sum(map(len, w)), _repeated_words(texts[i])) for i, w in enumerate(words)}
+    assert "xxhash64" in rows._jdf.queryExecution().optimizedPlan().toString() or not bits  # windows were sorted as texts
+
+
 def test_pipeline_of_an_empty_table_and_without_labels(spark, sf, empty, rows):
     import corpus_pipeline
 
